@@ -120,6 +120,12 @@ def asof_lookup(events: DataFrame, rates: DataFrame, ev_key, ev_date: str, out:
     return e.drop("_ak", "_v", "_first_day", "_last_day", "_first_v", "_last_v")
 
 
+def first_rate(rates: DataFrame, key: str = "currency", date: str = "business_date",
+               rate_col: str = "usd_per_unit") -> DataFrame:
+    """Earliest rate per currency (fallback for dates before the first rate)."""
+    return rates.groupBy(key).agg(F.min_by(rate_col, date).alias("rate0"))
+
+
 def segment_all(values: Column, include: Column | None = None) -> Column:
     """['ALL', value] (or ['ALL'] when ``include`` is false) for row expansion."""
     if include is None:

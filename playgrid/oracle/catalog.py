@@ -1,19 +1,40 @@
 """Oracle SQL per registered query name."""
 
-from playgrid.oracle import base, q_core  # noqa: F401
+from playgrid.oracle import base, q_core, q_fin  # noqa: F401
+from playgrid.oracle.sqlfn import STABLE
 
-# query name -> final SELECT over the oracle CTEs
+# query name -> (final SELECT over the oracle CTEs, DOUBLE columns rounded at the boundary)
 FINAL = {
-    "stg_events": "SELECT * FROM q_stg",
-    "int_revenue": "SELECT * FROM q_revenue",
-    "int_economy": "SELECT * FROM q_economy",
-    "rates_usd": "SELECT * FROM q_rates_usd",
-    "player_campaign": "SELECT * FROM q_campaign",
-    "iap_usd": "SELECT * FROM q_iap",
-    "dim_players": "SELECT * FROM q_dim_players",
-    "daily_active_users": "SELECT * FROM q_dau",
+    "stg_events": ("SELECT * FROM q_stg", ["revenue_amount"]),
+    "int_revenue": ("SELECT * FROM q_revenue", ["revenue_amount"]),
+    "int_economy": ("SELECT * FROM q_economy", []),
+    "rates_usd": ("SELECT * FROM q_rates_usd", ["usd_per_unit"]),
+    "player_campaign": ("SELECT * FROM q_campaign", []),
+    "iap_usd": ("SELECT * FROM q_iap", ["usd_amount"]),
+    "dim_players": ("SELECT * FROM q_dim_players", ["ltv"]),
+    "daily_active_users": ("SELECT * FROM q_dau", ["revenue", "arpdau"]),
+    "fct_revenue": ("SELECT * FROM q_fct_revenue", ["revenue_amount", "revenue_amount_usd"]),
+    "fct_economy": ("SELECT * FROM q_fct_economy", []),
+    "currency_flows_daily": ("SELECT * FROM q_flows", []),
+    "currency_balance_daily": ("SELECT * FROM q_balance", ["avg_balance", "median_balance"]),
+    "balance_backfill": ("SELECT * FROM q_balance_backfill", ["avg_balance", "median_balance"]),
+    "revenue_daily": ("SELECT * FROM q_revenue_daily", ["revenue", "avg_transaction", "arpu", "arppu"]),
+    "cohort_daily": ("SELECT * FROM q_cohort_daily",
+                     ["retention_rate", "ad_revenue", "iap_revenue", "total_revenue", "cum_ad_revenue",
+                      "cum_iap_revenue", "cum_total_revenue", "ad_arpu_cum", "arpu_cum"]),
+    "cohort_daily_country": ("SELECT * FROM q_cohort_daily_country",
+                             ["retention_rate", "ad_revenue", "iap_revenue", "total_revenue", "cum_ad_revenue",
+                              "cum_iap_revenue", "cum_total_revenue", "ad_arpu_cum", "arpu_cum"]),
+    "cohort_daily_campaign": ("SELECT * FROM q_cohort_campaign",
+                              ["ad_revenue", "iap_revenue", "total_revenue", "cum_ad_revenue",
+                               "cum_iap_revenue", "cum_total_revenue", "arpu_cum"]),
+    "cohort_pu": ("SELECT * FROM q_cohort_pu",
+                  ["iap_usd_d0", "iap_usd_d1", "iap_usd_d3", "iap_usd_d7"]),
+    "cohort_pu_daily": ("SELECT * FROM q_cohort_pu_daily",
+                        ["pu_rate_cum", "iap_usd", "iap_usd_cum", "iap_arpu_cum"]),
+    "forecast_input": ("SELECT * FROM q_forecast_input", ["cum_ad_arpu", "cum_arpu"]),
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: base.build(v) for k, v in FINAL.items()}
+    return {k: base.build(STABLE(v, cols)) for k, (v, cols) in FINAL.items()}

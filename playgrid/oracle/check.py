@@ -24,7 +24,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return round(v, 9)
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().replace(tzinfo=None)
     if hasattr(v, "tolist"):

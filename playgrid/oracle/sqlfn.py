@@ -47,3 +47,16 @@ def LIFETIME_BUCKET(d: str) -> str:
 def LIFETIME_ORDER(d: str) -> str:
     return (f"(CASE WHEN {d} IS NULL THEN 99 WHEN {d} = 0 THEN 0 WHEN {d} <= 3 THEN 1 WHEN {d} <= 7 THEN 2 "
             f"WHEN {d} <= 14 THEN 3 WHEN {d} <= 30 THEN 4 ELSE 5 END)")
+
+
+def RND(x: str, n: int) -> str:
+    """Half-up rounding of the shortest decimal form of a double (Spark ``round``)."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {n}) AS DOUBLE)"
+
+
+def STABLE(sql: str, cols: list[str], n: int = 9) -> str:
+    """Round the listed double columns of a result to n digits (float-noise guard)."""
+    if not cols:
+        return sql
+    rep = ", ".join(f"{RND(c, n)} AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) _s"

@@ -22,7 +22,7 @@ def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_conf(spark)
-            return fn(spark, sf_dir)
+            return stable(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -67,6 +67,53 @@ class Ctx:
         from playgrid.plans import staging as S
         return self.get("iap", lambda: S.iap_usd(self.inp("events"), self.inp("transactions"), self.rates_usd()))
 
+    def as_of(self):
+        """'Today' for the marts: the day after the last event day (a scalar subquery)."""
+        from pyspark.sql import functions as F
+        from playgrid.sources.tables import read
+        return self.get("as_of", lambda: F.date_add(
+            read(self.spark, self.sf_dir, "events").agg(F.max(F.to_date("ts"))).scalar(), 1))
+
+    def rev(self):
+        from playgrid.plans import finance
+        return self.get("rev", lambda: finance.fct_revenue(self.stg(), self.rates_usd(), self.campaign(),
+                                                           self.inp("backfill"), self.dim()))
+
+    def store(self):
+        from playgrid.plans import staging as S
+        return self.get("store", lambda: S.store_transactions(self.inp("transactions")))
+
+    def dau(self):
+        from playgrid.plans import core
+        return self.get("dau", lambda: core.daily_active_users(self.stg(), self.dim()))
+
+    def econ(self):
+        from playgrid.plans import finance
+        return self.get("econ", lambda: finance.fct_economy(self.stg(), self.campaign()))
+
+    def campaign_grid(self):
+        from playgrid.plans import cohorts
+        return self.get("cgrid", lambda: cohorts.cohort_daily_campaign(self.dim(), self.rev(), self.iap(),
+                                                                       self.as_of()))
+
     def dim(self):
         from playgrid.plans import core
         return self.get("dim", lambda: core.dim_players(self.inp("events"), self.campaign()))
+
+
+def stable(df: DataFrame, digits: int = 9) -> DataFrame:
+    """Round every DOUBLE column of a result (float summation-order noise guard).
+
+    Applied at the query boundary only; the pipelines themselves keep full
+    precision. The oracle applies the same rounding to the same columns.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DoubleType, FloatType
+    cols = [F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
+            else F.col(f.name) for f in df.schema.fields]
+    return df.select(*cols)
+
+
+def double_cols(df: DataFrame) -> list[str]:
+    from pyspark.sql.types import DoubleType, FloatType
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
