@@ -1,6 +1,6 @@
 """Oracle SQL per registered query name."""
 
-from playgrid.oracle import base, q_core, q_fin  # noqa: F401
+from playgrid.oracle import base, q_bi, q_core, q_fin  # noqa: F401
 from playgrid.oracle.sqlfn import STABLE
 
 # query name -> (final SELECT over the oracle CTEs, DOUBLE columns rounded at the boundary)
@@ -33,6 +33,19 @@ FINAL = {
     "cohort_pu_daily": ("SELECT * FROM q_cohort_pu_daily",
                         ["pu_rate_cum", "iap_usd", "iap_usd_cum", "iap_arpu_cum"]),
     "forecast_input": ("SELECT * FROM q_forecast_input", ["cum_ad_arpu", "cum_arpu"]),
+    "ad_placement_version": ("SELECT * FROM q_ad_placement_version",
+                             ["ad_revenue", "ecpm", "rev_per_viewer", "rev_share_in_version"]),
+    "ad_placement_country": ("SELECT * FROM q_ad_placement_country",
+                             ["ad_revenue", "ecpm", "rev_per_viewer", "rev_share_in_version_country"]),
+    "ad_segment": ("SELECT * FROM q_ad_segment", []),
+    "bi_activity": ("SELECT * FROM q_bi_activity", []),
+    "bi_ads": ("SELECT * FROM q_bi_ads", ["ad_revenue"]),
+    "bi_gem_flows": ("SELECT * FROM q_bi_gem_flows", []),
+    "bi_iap": ("SELECT * FROM q_bi_iap", ["usd_amount"]),
+    "bi_revenue": ("SELECT * FROM q_bi_revenue", ["revenue_usd"]),
+    "fct_level_events": ("SELECT * FROM q_levels", ["avg_rounds", "avg_hp_percent", "player_power"]),
+    "level_funnel_daily": ("SELECT * FROM q_level_funnel",
+                           ["complete_rate", "fail_rate", "avg_battles", "avg_hp_percent_on_fail"]),
 }
 
 

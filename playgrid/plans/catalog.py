@@ -1,3 +1,3 @@
 """Imports every query module so that its registrations run."""
 
-from playgrid.plans import q_core, q_fin  # noqa: F401
+from playgrid.plans import q_bi, q_core, q_fin  # noqa: F401
