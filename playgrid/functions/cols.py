@@ -157,11 +157,11 @@ def days_between(a, b) -> Column:
 
 def seconds_between(a, b) -> Column:
     """Second-boundary difference, as ``dateDiff('second', a, b)``."""
-    return F.unix_seconds(c(b)) - F.unix_seconds(c(a))
+    return F.unix_seconds(c(b).cast("timestamp")) - F.unix_seconds(c(a).cast("timestamp"))
 
 
 def millis_between(a, b) -> Column:
-    return F.unix_millis(c(b)) - F.unix_millis(c(a))
+    return F.unix_millis(c(b).cast("timestamp")) - F.unix_millis(c(a).cast("timestamp"))
 
 
 def monday(d) -> Column:

@@ -74,7 +74,7 @@ SELECT
   fam || CAST(u AS VARCHAR) || '_' || t || '_' || ymd AS id,
   CASE fam
     WHEN 'a' THEN CASE WHEN t IN ('purchase', 'click') THEN 'revenue' WHEN t = 'view' THEN 'resource_top_up'
-                       WHEN t = 'error' THEN 'resource_consume' ELSE 'session_start' END
+                       WHEN t = 'error' THEN 'resource_consume' WHEN k % 2 = 0 THEN 'session_end' ELSE 'pause' END
     WHEN 'b' THEN CASE WHEN t IN ('view', 'signup') THEN 'story_start' WHEN t = 'error' THEN 'chapter_finish'
                        ELSE 'chapter_fight_summary' END
     ELSE CASE WHEN t = 'signup' AND k % 10 = 0 THEN 'clan_creation' WHEN t = 'signup' THEN 'clan_join'

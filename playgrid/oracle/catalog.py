@@ -1,6 +1,6 @@
 """Oracle SQL per registered query name."""
 
-from playgrid.oracle import base, q_bi, q_core, q_fin  # noqa: F401
+from playgrid.oracle import base, q_bi, q_clans, q_core, q_fin  # noqa: F401
 from playgrid.oracle.sqlfn import STABLE
 
 # query name -> (final SELECT over the oracle CTEs, DOUBLE columns rounded at the boundary)
@@ -46,6 +46,13 @@ FINAL = {
     "fct_level_events": ("SELECT * FROM q_levels", ["avg_rounds", "avg_hp_percent", "player_power"]),
     "level_funnel_daily": ("SELECT * FROM q_level_funnel",
                            ["complete_rate", "fail_rate", "avg_battles", "avg_hp_percent_on_fail"]),
+    "clan_events": ("SELECT * FROM q_clan_events", ["hp_percent"]),
+    "clan_members": ("SELECT * FROM q_clan_members", ["days_in_clan", "raid_win_rate"]),
+    "clan_raid_fights": ("SELECT * FROM q_clan_fights", ["hp_percent", "stats_current_hp", "stats_max_hp"]),
+    "clan_raid_tiers": ("SELECT * FROM q_clan_tiers",
+                        ["win_rate", "hours_to_first_win", "avg_rounds", "avg_hp_percent_on_win"]),
+    "clan_daily": ("SELECT * FROM q_clan_daily", ["active_share", "raid_participation", "tech_issue_rate"]),
+    "dim_clans": ("SELECT * FROM q_dim_clans", ["active_share_7d", "raid_win_rate", "tech_issue_rate"]),
 }
 
 

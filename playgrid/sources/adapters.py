@@ -13,7 +13,8 @@ three event families through one scan (``explode`` of a 3-element literal
 array, no self-union, no re-scan):
 
   family a: purchase/click -> 'revenue' (purchase / ad_reward), view ->
-            'resource_top_up', error -> 'resource_consume', signup -> 'session_start'
+            'resource_top_up', error -> 'resource_consume', signup -> 'session_end'
+            (k even) / 'pause' (k odd)
   family b: level play: view/signup -> 'story_start', click/purchase ->
             'chapter_fight_summary', error -> 'chapter_finish'
   family c: clans: signup -> 'clan_join' ('clan_creation' for k % 10 = 0),
@@ -119,7 +120,8 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_obj(*common)))
     a_name = (F.when(t.isin("purchase", "click"), F.lit("revenue"))
               .when(t == "view", F.lit("resource_top_up"))
-              .when(t == "error", F.lit("resource_consume")).otherwise(F.lit("session_start")))
+              .when(t == "error", F.lit("resource_consume"))
+              .when(kk % 2 == 0, F.lit("session_end")).otherwise(F.lit("pause")))
 
     # family b: level play
     star = _case(kk % 4, {0: '"isStarMode":"true"', 1: '"IsStarMode":"True"', 2: '"isStarMode":"false"'})
