@@ -1,6 +1,6 @@
 """Oracle SQL per registered query name."""
 
-from playgrid.oracle import base, q_bi, q_clans, q_core, q_fin  # noqa: F401
+from playgrid.oracle import base, q_bi, q_clans, q_core, q_fin, q_forecast  # noqa: F401
 from playgrid.oracle.sqlfn import STABLE
 
 # query name -> (final SELECT over the oracle CTEs, DOUBLE columns rounded at the boundary)
@@ -53,6 +53,13 @@ FINAL = {
                         ["win_rate", "hours_to_first_win", "avg_rounds", "avg_hp_percent_on_win"]),
     "clan_daily": ("SELECT * FROM q_clan_daily", ["active_share", "raid_participation", "tech_issue_rate"]),
     "dim_clans": ("SELECT * FROM q_dim_clans", ["active_share_7d", "raid_win_rate", "tech_issue_rate"]),
+    "trend_forecast": ("SELECT * FROM q_trend", ["prophet_cum_ad_arpu", "prophet_cum_arpu"]),
+    "arpu_forecast": ("SELECT * FROM q_arpu_forecast", [
+        "observed_cum_ad_arpu", "observed_cum_arpu", "forecast_cum_ad_arpu", "forecast_cum_arpu",
+        "best_cum_ad_arpu", "best_cum_arpu", "prophet_cum_ad_arpu", "prophet_cum_arpu",
+        "prophet_obs_cum_ad_arpu", "prophet_obs_cum_arpu", "prophet_obs_cum_iap_arpu",
+        "observed_cum_iap_arpu", "forecast_cum_iap_arpu", "best_cum_iap_arpu", "prophet_cum_iap_arpu",
+        "observed_iap", "forecast_iap"]),
 }
 
 
