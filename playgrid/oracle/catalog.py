@@ -1,6 +1,6 @@
 """Oracle SQL per registered query name."""
 
-from playgrid.oracle import base, q_bi, q_clans, q_core, q_fin, q_forecast  # noqa: F401
+from playgrid.oracle import base, q_bi, q_clans, q_core, q_fin, q_forecast, q_ingest  # noqa: F401
 from playgrid.oracle.sqlfn import STABLE
 
 # query name -> (final SELECT over the oracle CTEs, DOUBLE columns rounded at the boundary)
@@ -60,6 +60,10 @@ FINAL = {
         "prophet_obs_cum_ad_arpu", "prophet_obs_cum_arpu", "prophet_obs_cum_iap_arpu",
         "observed_cum_iap_arpu", "forecast_cum_iap_arpu", "best_cum_iap_arpu", "prophet_cum_iap_arpu",
         "observed_iap", "forecast_iap"]),
+    "conversions": ("SELECT * FROM q_conversions", []),
+    "daily_stats": ("SELECT * FROM q_daily_stats", []),
+    "daily_stats_by": ("SELECT * FROM q_daily_stats_by", []),
+    "currency_rates": ("SELECT * FROM q_rates_etl", ["rate"]),
 }
 
 
