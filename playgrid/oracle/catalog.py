@@ -1,6 +1,6 @@
 """Oracle SQL per registered query name."""
 
-from playgrid.oracle import base, q_bi, q_clans, q_core, q_fin, q_forecast, q_ingest  # noqa: F401
+from playgrid.oracle import base, q_alerts, q_bi, q_clans, q_core, q_fin, q_forecast, q_ingest, q_ops  # noqa: F401
 from playgrid.oracle.sqlfn import STABLE
 
 # query name -> (final SELECT over the oracle CTEs, DOUBLE columns rounded at the boundary)
@@ -64,6 +64,13 @@ FINAL = {
     "daily_stats": ("SELECT * FROM q_daily_stats", []),
     "daily_stats_by": ("SELECT * FROM q_daily_stats_by", []),
     "currency_rates": ("SELECT * FROM q_rates_etl", ["rate"]),
+    "player_lookup": ("SELECT * FROM q_player_lookup", []),
+    "new_files": ("SELECT * FROM q_new_files", []),
+    "dq_report": ("SELECT * FROM q_dq", []),
+    "big_wins_round": ("SELECT * FROM q_big_wins_round",
+                       ["amount", "amount_usd", "amount_eur", "rate_usd", "rate_eur_usd", "threshold"]),
+    "big_wins_session": ("SELECT * FROM q_big_wins_session",
+                         ["amount", "amount_usd", "amount_eur", "rate_usd", "rate_eur_usd", "threshold"]),
 }
 
 
