@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from playgrid.functions.cols import (float_or_null, float_or_null_comma, int_or_null, lifetime_bucket,
                                      lifetime_order, prop, prop_raw, safe_div, spend_category, version_gte)
 from playgrid.operators.rel import last_known
-from playgrid.plans.staging import events_final
 
 MIN_VERSION = "1.0.22"
 FAIL_TRACKING_VERSION = "1.0.28"
@@ -66,9 +65,9 @@ def ad_segment(dim: DataFrame, user_props: DataFrame, min_version: str = MIN_VER
         F.sum("ad_rewards_count").alias("total_ad_rewards"))
 
 
-def bi_activity(raw_events: DataFrame, dim: DataFrame) -> DataFrame:
+def bi_activity(final_events: DataFrame, dim: DataFrame) -> DataFrame:
     """M-27: one row per active player-day with the day's attributes and lifetime bucket."""
-    e = events_final(raw_events).select(
+    e = final_events.select(
         F.to_date("event_at").alias("event_date"), "player_id", "event_at", "id",
         int_or_null(prop_raw("daysSinceRegistration")).alias("dsr"),
         prop("version").alias("v"), prop("country").alias("c"))
@@ -94,9 +93,9 @@ def _with_campaign(df: DataFrame, campaign: DataFrame) -> DataFrame:
     return df.join(campaign.select("player_id", "campaign_name", "platform", "install_date"), "player_id", "left")
 
 
-def bi_ads(raw_events: DataFrame, campaign: DataFrame) -> DataFrame:
+def bi_ads(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
     """M-28: one row per rewarded ad view."""
-    e = events_final(raw_events).filter((F.col("name") == "revenue") & (prop_raw("type") == "ad_reward")).select(
+    e = final_events.filter((F.col("name") == "revenue") & (prop_raw("type") == "ad_reward")).select(
         "player_id", F.to_date("event_at").alias("event_date"),
         float_or_null_comma(prop_raw("revenue")).alias("ad_revenue"),
         int_or_null(prop_raw("daysSinceRegistration")).alias("dsr"),
@@ -114,9 +113,9 @@ def bi_ads(raw_events: DataFrame, campaign: DataFrame) -> DataFrame:
         F.coalesce("ad_revenue", F.lit(0.0)).alias("ad_revenue"))
 
 
-def bi_gem_flows(raw_events: DataFrame, campaign: DataFrame, currency_key: str = "Currency_Gems") -> DataFrame:
+def bi_gem_flows(final_events: DataFrame, campaign: DataFrame, currency_key: str = "Currency_Gems") -> DataFrame:
     """M-29: one row per economy event that moved Gems (zero deltas dropped)."""
-    e = events_final(raw_events).filter(
+    e = final_events.filter(
         F.col("name").isin("resource_top_up", "resource_consume") & (prop_raw(currency_key) != "")).select(
         "player_id", F.to_date("event_at").alias("event_date"),
         int_or_null(prop_raw(currency_key), "bigint").alias("gem_delta"),
@@ -182,10 +181,10 @@ def bi_revenue(ads: DataFrame, iap_rows: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ progression
-def fct_level_events(raw_events: DataFrame, campaign: DataFrame, min_version: str = MIN_VERSION,
+def fct_level_events(final_events: DataFrame, campaign: DataFrame, min_version: str = MIN_VERSION,
                      fail_version: str = FAIL_TRACKING_VERSION) -> DataFrame:
     """M-32: chapter play events mapped to level_start / level_complete / level_fail."""
-    e = events_final(raw_events).filter(
+    e = final_events.filter(
         F.col("name").isin("story_start", "chapter_fight_summary", "chapter_finish")
         & (prop_raw("isTest") != "true"))
     ev = e.select(

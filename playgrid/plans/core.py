@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 from playgrid.functions.cols import (country_name, float_or_null_comma, int_or_null, prop,
                                      prop_raw, safe_div)
 from playgrid.operators.rel import first_known, last_known
-from playgrid.plans.staging import events_final
 
 
-def dim_players(raw_events: DataFrame, campaign: DataFrame) -> DataFrame:
+def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
     """M-08: one row per player - activity span, last/first known attributes, LTV.
 
     Reads only the JSON paths it needs from the deduplicated log, aggregates
     per player (hash aggregate, map-side partial), then joins the campaign
     bridge on player_id.
     """
-    ev = events_final(raw_events).select(
+    ev = final_events.select(
         "player_id", "event_at", F.to_date("event_at").alias("event_date"),
         F.col("name").alias("event_name"), "session_id", "id",
         prop("country").alias("country"),

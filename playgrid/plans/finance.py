@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playgrid.functions.cols import int_or_null, safe_div
 from playgrid.operators.rel import asof_lookup, first_rate
-from playgrid.plans.staging import events_final, int_economy, int_revenue
+from playgrid.plans.staging import int_economy, int_revenue
 
 
 def fct_revenue(stg: DataFrame, rates_usd: DataFrame, campaign: DataFrame,
@@ -74,9 +74,9 @@ def currency_flows_daily(fct_econ: DataFrame) -> DataFrame:
         F.count_distinct("player_id").alias("players"))
 
 
-def balance_snapshots(raw_events: DataFrame) -> DataFrame:
+def balance_snapshots(final_events: DataFrame) -> DataFrame:
     """(event_date, player_id, currency, balance) from ``properties.balanceSnapshot``."""
-    e = events_final(raw_events).select(
+    e = final_events.select(
         "event_date", "player_id",
         F.get_json_object("properties", "$.balanceSnapshot").alias("snap"))
     e = e.filter(F.col("snap").isNotNull() & (F.col("snap") != ""))
@@ -101,13 +101,13 @@ def currency_balance_daily(snapshots: DataFrame) -> DataFrame:
         F.max("balance").alias("max_balance"))
 
 
-def balance_backfill(raw_events: DataFrame, d_from: str, d_to: str) -> DataFrame:
+def balance_backfill(final_events: DataFrame, d_from: str, d_to: str) -> DataFrame:
     """M-14: the balance mart recomputed for one closed date range (idempotent re-load).
 
     The range predicate sits on ``event_date`` itself (the partition column),
     so partition pruning applies; see ``sinks.replace_range`` for the write.
     """
-    ev = raw_events.filter(F.col("event_date").between(F.lit(d_from).cast("date"), F.lit(d_to).cast("date")))
+    ev = final_events.filter(F.col("event_date").between(F.lit(d_from).cast("date"), F.lit(d_to).cast("date")))
     return currency_balance_daily(balance_snapshots(ev))
 
 

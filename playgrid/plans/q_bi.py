@@ -23,19 +23,19 @@ def q_ad_segment(spark, sf):
 @query("bi_activity")
 def q_bi_activity(spark, sf):
     c = Ctx(spark, sf)
-    return bi.bi_activity(c.inp("events"), c.dim())
+    return bi.bi_activity(c.final(), c.dim())
 
 
 @query("bi_ads")
 def q_bi_ads(spark, sf):
-    c = Ctx(spark, sf)
-    return bi.bi_ads(c.inp("events"), c.campaign())
+    c = Ctx(spark, sf, single=True)
+    return bi.bi_ads(c.final(), c.campaign())
 
 
 @query("bi_gem_flows")
 def q_bi_gem_flows(spark, sf):
-    c = Ctx(spark, sf)
-    return bi.bi_gem_flows(c.inp("events"), c.campaign())
+    c = Ctx(spark, sf, single=True)
+    return bi.bi_gem_flows(c.final(), c.campaign())
 
 
 @query("bi_iap")
@@ -47,16 +47,16 @@ def q_bi_iap(spark, sf):
 @query("bi_revenue")
 def q_bi_revenue(spark, sf):
     c = Ctx(spark, sf)
-    return bi.bi_revenue(bi.bi_ads(c.inp("events"), c.campaign()), bi.bi_iap(c.iap(), c.dim()))
+    return bi.bi_revenue(bi.bi_ads(c.final(), c.campaign()), bi.bi_iap(c.iap(), c.dim()))
 
 
 @query("fct_level_events")
 def q_fct_level_events(spark, sf):
-    c = Ctx(spark, sf)
-    return bi.fct_level_events(c.inp("events"), c.campaign())
+    c = Ctx(spark, sf, single=True)
+    return bi.fct_level_events(c.final(), c.campaign())
 
 
 @query("level_funnel_daily")
 def q_level_funnel_daily(spark, sf):
-    c = Ctx(spark, sf)
-    return bi.level_funnel_daily(bi.fct_level_events(c.inp("events"), c.campaign()))
+    c = Ctx(spark, sf, single=True)
+    return bi.level_funnel_daily(bi.fct_level_events(c.final(), c.campaign()))

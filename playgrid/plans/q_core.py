@@ -6,37 +6,37 @@ from playgrid.plans.registry import Ctx, query
 
 @query("stg_events")
 def q_stg_events(spark, sf):
-    return Ctx(spark, sf).stg()
+    return Ctx(spark, sf, single=True).stg()
 
 
 @query("int_revenue")
 def q_int_revenue(spark, sf):
-    return S.int_revenue(Ctx(spark, sf).stg())
+    return S.int_revenue(Ctx(spark, sf, single=True).stg())
 
 
 @query("int_economy")
 def q_int_economy(spark, sf):
-    return S.int_economy(Ctx(spark, sf).stg())
+    return S.int_economy(Ctx(spark, sf, single=True).stg())
 
 
 @query("rates_usd")
 def q_rates_usd(spark, sf):
-    return Ctx(spark, sf).rates_usd()
+    return Ctx(spark, sf, single=True).rates_usd()
 
 
 @query("player_campaign")
 def q_player_campaign(spark, sf):
-    return Ctx(spark, sf).campaign()
+    return Ctx(spark, sf, single=True).campaign()
 
 
 @query("iap_usd")
 def q_iap_usd(spark, sf):
-    return Ctx(spark, sf).iap()
+    return Ctx(spark, sf, single=True).iap()
 
 
 @query("dim_players")
 def q_dim_players(spark, sf):
-    return Ctx(spark, sf).dim()
+    return Ctx(spark, sf, single=True).dim()
 
 
 @query("daily_active_users")

@@ -11,23 +11,23 @@ def q_fct_revenue(spark, sf):
 
 @query("fct_economy")
 def q_fct_economy(spark, sf):
-    return Ctx(spark, sf).econ()
+    return Ctx(spark, sf, single=True).econ()
 
 
 @query("currency_flows_daily")
 def q_flows(spark, sf):
-    return finance.currency_flows_daily(Ctx(spark, sf).econ())
+    return finance.currency_flows_daily(Ctx(spark, sf, single=True).econ())
 
 
 @query("currency_balance_daily")
 def q_balance(spark, sf):
-    return finance.currency_balance_daily(finance.balance_snapshots(Ctx(spark, sf).inp("events")))
+    return finance.currency_balance_daily(finance.balance_snapshots(Ctx(spark, sf, single=True).final()))
 
 
 @query("balance_backfill")
 def q_balance_backfill(spark, sf):
     # one calendar month re-load (the backfill's unit of work)
-    return finance.balance_backfill(Ctx(spark, sf).inp("events"), "2024-01-01", "2024-01-31")
+    return finance.balance_backfill(Ctx(spark, sf, single=True).final(), "2024-01-01", "2024-01-31")
 
 
 @query("revenue_daily")

@@ -5,7 +5,7 @@ from playgrid.plans.registry import Ctx, query
 
 
 def _trend(c: Ctx):
-    return c.get("trend", lambda: forecast.trend_forecast(cohorts.forecast_input(c.campaign_grid())))
+    return c.mat("trend", lambda: forecast.trend_forecast(cohorts.forecast_input(c.campaign_grid())))
 
 
 @query("trend_forecast")

@@ -33,8 +33,10 @@ def query(name: str):
 class Ctx:
     """Memoised inputs and intermediate DataFrames for one (spark, sf_dir)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, single: bool = False):
+        """``single``: the query reads the event log once, so it streams through
+        without materializing the deduplicated log first."""
+        self.spark, self.sf_dir, self.single = spark, sf_dir, single
         self._m: dict[str, DataFrame] = {}
 
     def get(self, name: str, fn):
@@ -42,6 +44,17 @@ class Ctx:
             self._m[name] = fn()
         return self._m[name]
 
+    def mat(self, name: str, fn):
+        """Like ``get`` but the result is materialized as a table (see ``session.materialize``).
+
+        Used for intermediates that several parts of one plan read (the
+        deduplicated event log, dimensions, membership periods, ...), so the
+        plan references a table instead of inlining the whole upstream tree
+        once per use.
+        """
+        from playgrid.session import materialize
+        return self.get(name, lambda: materialize(fn(), name))
+
     # inputs
     def inp(self, name: str) -> DataFrame:
         from playgrid.sources import adapters as A
@@ -51,13 +64,20 @@ class Ctx:
         return self.get("in:" + name, lambda: fns[name](self.spark, self.sf_dir))
 
     # staging / intermediate
+    def final(self):
+        """The deduplicated event log (FINAL read), materialized once per query."""
+        from playgrid.plans import staging as S
+        if self.single:
+            return self.get("final", lambda: S.events_final(self.inp("events")))
+        return self.mat("final", lambda: S.events_final(self.inp("events")))
+
     def stg(self):
         from playgrid.plans import staging as S
-        return self.get("stg", lambda: S.stg_events(self.inp("events")))
+        return self.get("stg", lambda: S.stg_events(self.final()))
 
     def campaign(self):
         from playgrid.plans import staging as S
-        return self.get("campaign", lambda: S.player_campaign(self.inp("profiles"), self.inp("accounts")))
+        return self.mat("campaign", lambda: S.player_campaign(self.inp("profiles"), self.inp("accounts")))
 
     def rates_usd(self):
         from playgrid.plans import staging as S
@@ -65,7 +85,7 @@ class Ctx:
 
     def iap(self):
         from playgrid.plans import staging as S
-        return self.get("iap", lambda: S.iap_usd(self.inp("events"), self.inp("transactions"), self.rates_usd()))
+        return self.mat("iap", lambda: S.iap_usd(self.final(), self.inp("transactions"), self.rates_usd()))
 
     def as_of(self):
         """'Today' for the marts: the day after the last event day (a scalar subquery)."""
@@ -76,7 +96,7 @@ class Ctx:
 
     def rev(self):
         from playgrid.plans import finance
-        return self.get("rev", lambda: finance.fct_revenue(self.stg(), self.rates_usd(), self.campaign(),
+        return self.mat("rev", lambda: finance.fct_revenue(self.stg(), self.rates_usd(), self.campaign(),
                                                            self.inp("backfill"), self.dim()))
 
     def store(self):
@@ -93,12 +113,12 @@ class Ctx:
 
     def campaign_grid(self):
         from playgrid.plans import cohorts
-        return self.get("cgrid", lambda: cohorts.cohort_daily_campaign(self.dim(), self.rev(), self.iap(),
+        return self.mat("cgrid", lambda: cohorts.cohort_daily_campaign(self.dim(), self.rev(), self.iap(),
                                                                        self.as_of()))
 
     def dim(self):
         from playgrid.plans import core
-        return self.get("dim", lambda: core.dim_players(self.inp("events"), self.campaign()))
+        return self.mat("dim", lambda: core.dim_players(self.final(), self.campaign()))
 
 
 def stable(df: DataFrame, digits: int = 9) -> DataFrame:

@@ -22,9 +22,9 @@ def events_final(raw: DataFrame) -> DataFrame:
     return latest_version(raw, EVENT_KEY, ["received_at", "seq"])
 
 
-def stg_events(raw: DataFrame) -> DataFrame:
-    """M-01: deduplicated events with the common payload fields typed."""
-    e = events_final(raw)
+def stg_events(final_events: DataFrame) -> DataFrame:
+    """M-01: deduplicated events (``events_final``) with the common payload fields typed."""
+    e = final_events
     return e.select(
         "id", F.col("name").alias("event_name"), "player_id", "session_id", "client_session_id",
         "event_at", F.to_date("event_at").alias("event_date"), F.col("source").alias("event_source"),
@@ -122,7 +122,7 @@ def store_transactions(tx: DataFrame) -> DataFrame:
                     prop_raw("productId", d).alias("product_id")))
 
 
-def iap_usd(raw_events: DataFrame, tx: DataFrame, rates_usd_df: DataFrame,
+def iap_usd(final_events: DataFrame, tx: DataFrame, rates_usd_df: DataFrame,
             sku_prefix_re: str = A.SKU_PREFIX_RE) -> DataFrame:
     """M-06: purchases in USD, hybrid by coverage date.
 
@@ -131,7 +131,7 @@ def iap_usd(raw_events: DataFrame, tx: DataFrame, rates_usd_df: DataFrame,
     date <= purchase date, else the earliest rate, else 1.0 for USD).
     """
     mt = store_transactions(tx)
-    ev = events_final(raw_events).filter(
+    ev = final_events.filter(
         (F.col("name") == "revenue") & (prop_raw("type") == "purchase"))
     ev = ev.select(
         "id", "player_id", F.col("event_date").alias("purchase_date"),
