@@ -29,8 +29,20 @@ def _cols(x) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in ([x] if isinstance(x, (str, Column)) else x)]
 
 
-def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` tuple (last version wins)."""
+def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[str], method: str = "agg") -> DataFrame:
+    """One row per key: the row with the greatest ``order`` tuple (last version wins).
+
+    ``method="agg"`` (default): grouped ``max_by`` with map-side partial
+    aggregation - the choice when a key can have many versions (upserted
+    API records, re-read windows, hot keys).
+    ``method="window"``: ``row_number`` over the key - cheaper when keys are
+    near-unique message identities (the event log), where partial
+    aggregation removes nothing and ``max_by`` over a wide struct forces a
+    sort-based aggregate.
+    """
+    if method == "window":
+        w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
+        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     others = [c for c in df.columns if c not in key]
     picked = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*_cols(order)))
     return (df.groupBy(*key).agg(picked.alias("_v"))

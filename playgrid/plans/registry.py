@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from playgrid.session import apply_conf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_INPUT_PLANS: dict[tuple, DataFrame] = {}
 
 
 def query(name: str):
@@ -57,11 +58,15 @@ class Ctx:
 
     # inputs
     def inp(self, name: str) -> DataFrame:
+        """Reference-shaped input plan (analysed once per session and folder, no data cached)."""
         from playgrid.sources import adapters as A
         fns = {"events": A.game_events, "profiles": A.raw_profiles, "accounts": A.raw_accounts,
                "transactions": A.raw_transactions, "rates": A.currency_rates,
                "backfill": A.iap_backfill, "user_props": A.user_props}
-        return self.get("in:" + name, lambda: fns[name](self.spark, self.sf_dir))
+        key = (id(self.spark), self.sf_dir, name)
+        if key not in _INPUT_PLANS:
+            _INPUT_PLANS[key] = fns[name](self.spark, self.sf_dir)
+        return _INPUT_PLANS[key]
 
     # staging / intermediate
     def final(self):

@@ -19,7 +19,7 @@ def events_final(raw: DataFrame) -> DataFrame:
     The key contains ``event_date`` (the physical partition column), so the
     dedup is partition-local when the log is laid out by day.
     """
-    return latest_version(raw, EVENT_KEY, ["received_at", "seq"])
+    return latest_version(raw, EVENT_KEY, ["received_at", "seq"], method="window")
 
 
 def stg_events(final_events: DataFrame) -> DataFrame:
