@@ -13,6 +13,7 @@ FINAL = {
     "iap_usd": ("SELECT * FROM q_iap", ["usd_amount"]),
     "dim_players": ("SELECT * FROM q_dim_players", ["ltv"]),
     "daily_active_users": ("SELECT * FROM q_dau", ["revenue", "arpdau"]),
+    "activity_windows": ("SELECT * FROM q_activity_windows", []),
     "fct_revenue": ("SELECT * FROM q_fct_revenue", ["revenue_amount", "revenue_amount_usd"]),
     "fct_economy": ("SELECT * FROM q_fct_economy", []),
     "currency_flows_daily": ("SELECT * FROM q_flows", []),

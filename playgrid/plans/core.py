@@ -78,3 +78,21 @@ def daily_active_users(stg: DataFrame, dim: DataFrame) -> DataFrame:
         F.count_distinct("session_id").alias("sessions"),
         F.round(rev, 4).alias("revenue"),
         F.round(safe_div(rev, dau), 4).alias("arpdau"))
+
+
+def activity_windows(activity: DataFrame, days: int = 30, week: int = 7) -> DataFrame:
+    """T-09: DAU / WAU / MAU per active day from player-day activity.
+
+    Each (player, day) row is fanned out to the ``days`` window ends it
+    belongs to (a constant, bounded fan-out); the minimum lag per (window end,
+    player) then gives exact distinct counts for all three windows in one
+    aggregation, without a multi-distinct Expand.
+    """
+    pd = activity.select("player_id", "event_date").distinct()
+    fan = pd.select("player_id", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("lag"), "event_date") \
+        .withColumn("window_end", F.date_add("event_date", F.col("lag")))
+    per = fan.groupBy("window_end", "player_id").agg(F.min("lag").alias("lag"))
+    active_days = pd.select(F.col("event_date").alias("window_end")).distinct()
+    return (per.join(active_days, "window_end", "left_semi").groupBy(F.col("window_end").alias("event_date"))
+            .agg(F.count_if(F.col("lag") == 0).alias("dau"), F.count_if(F.col("lag") < week).alias("wau"),
+                 F.count(F.lit(1)).alias("mau")))

@@ -43,3 +43,9 @@ def q_dim_players(spark, sf):
 def q_dau(spark, sf):
     c = Ctx(spark, sf)
     return core.daily_active_users(c.stg(), c.dim())
+
+
+@query("activity_windows")
+def q_activity_windows(spark, sf):
+    c = Ctx(spark, sf, single=True)
+    return core.activity_windows(c.stg())
