@@ -166,3 +166,13 @@ def millis_between(a, b) -> Column:
 
 def monday(d) -> Column:
     return F.to_date(F.date_trunc("week", c(d)))
+
+
+def money_sum(x) -> Column:
+    """Exact sum of money amounts: summed as DECIMAL micro-units, returned as DOUBLE.
+
+    A float sum depends on the (partition-dependent) addition order; rounding
+    such a sum to 2-4 digits can flip on ties. Summing fixed-point values is
+    associative, so the rounded figure no longer depends on partitioning.
+    """
+    return F.sum(c(x).cast("decimal(24,6)")).cast("double")

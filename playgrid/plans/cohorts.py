@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.functions.cols import monday, version_gte
+from playgrid.functions.cols import monday, money_sum, version_gte
 from playgrid.operators.rel import dense_days, running_sum
 
 MIN_VERSION = "1.0.22"
@@ -165,17 +165,17 @@ def cohort_pu(dim: DataFrame, store: DataFrame, as_of, horizons: Sequence[int] =
     cohort - no multi-distinct Expand.
     """
     p = _pu_players(dim)
-    pur = store.groupBy("player_id", "purchase_date").agg(F.sum("usd_amount").alias("usd"))
+    pur = store.groupBy("player_id", "purchase_date").agg(money_sum("usd_amount").alias("usd"))
     j = p.join(pur, "player_id", "left").withColumn("d", F.datediff("purchase_date", "cohort_date"))
     per = j.groupBy("player_id", "country", "cohort_version", "cohort_date").agg(
         F.min(F.when(F.col("d") >= 0, F.col("d"))).alias("fpd"),
-        *[F.sum(F.when(F.col("d").between(0, k), F.col("usd"))).alias(f"u{k}") for k in horizons])
+        *[money_sum(F.when(F.col("d").between(0, k), F.col("usd"))).alias(f"u{k}") for k in horizons])
     keys = ["cohort_version", "country", "cohort_date"]
     age = _age(as_of)
     return per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("installs"),
         *[F.count_if(F.col("fpd") <= k).alias(f"pu_d{k}") for k in horizons],
-        *[F.round(F.coalesce(F.sum(f"u{k}"), F.lit(0.0)), 2).alias(f"iap_usd_d{k}") for k in horizons],
+        *[F.round(F.coalesce(money_sum(f"u{k}"), F.lit(0.0)), 2).alias(f"iap_usd_d{k}") for k in horizons],
     ).select(*keys, age.alias("cohort_age_days"), "installs",
              *[f"pu_d{k}" for k in horizons], *[f"iap_usd_d{k}" for k in horizons],
              (age >= 4).cast("int").alias("d3_closed"), (age >= 8).cast("int").alias("d7_closed"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.functions.cols import (country_name, float_or_null_comma, int_or_null, prop,
+from playgrid.functions.cols import (country_name, float_or_null_comma, int_or_null, money_sum, prop,
                                      prop_raw, safe_div)
 from playgrid.operators.rel import first_known, last_known
 
@@ -42,7 +42,7 @@ def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
         first_known("country", order).alias("first_country"),
         F.count(F.lit(1)).alias("total_events"),
         F.count_distinct("session_id").alias("total_sessions"),
-        F.round(F.sum(F.when(is_rev, F.col("revenue_amount"))), 4).alias("ltv"),
+        F.round(money_sum(F.when(is_rev, F.col("revenue_amount"))), 4).alias("ltv"),
         F.count_if(is_rev & (F.col("revenue_type") == "purchase")).alias("purchases_count"),
         F.count_if(is_rev & (F.col("revenue_type") == "ad_reward")).alias("ad_rewards_count"),
         F.bool_or(is_rev & (F.col("revenue_type") == "purchase")).alias("is_payer"))
@@ -67,9 +67,9 @@ def daily_active_users(stg: DataFrame, dim: DataFrame) -> DataFrame:
     the player dimension and the distinct counts work on a much smaller set.
     """
     pds = stg.groupBy("event_date", "player_id", "session_id").agg(
-        F.sum(F.when(F.col("event_name") == "revenue", F.col("revenue_amount"))).alias("rev"))
+        money_sum(F.when(F.col("event_name") == "revenue", F.col("revenue_amount"))).alias("rev"))
     j = pds.join(dim.select("player_id", "first_seen_date"), "player_id")
-    rev = F.sum("rev")
+    rev = money_sum("rev")
     dau = F.count_distinct("player_id")
     return j.groupBy("event_date").agg(
         dau.alias("dau"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.functions.cols import int_or_null, safe_div
+from playgrid.functions.cols import int_or_null, money_sum, safe_div
 from playgrid.operators.rel import asof_lookup, first_rate
 from playgrid.plans.staging import int_economy, int_revenue
 
@@ -115,12 +115,12 @@ def revenue_daily(fct_rev: DataFrame, iap: DataFrame, dau: DataFrame) -> DataFra
     """M-15: USD revenue per day and type: ad rewards from events, purchases from the IAP hybrid."""
     ad = (fct_rev.filter(F.col("revenue_type") == "ad_reward").groupBy("event_date")
           .agg(F.count(F.lit(1)).alias("transactions"), F.count_distinct("player_id").alias("paying_users"),
-               F.sum("revenue_amount_usd").alias("revenue"))
+               money_sum("revenue_amount_usd").alias("revenue"))
           .withColumn("revenue_type", F.lit("ad_reward")))
     ip = (iap.filter(F.col("purchase_date").isNotNull())
           .groupBy(F.col("purchase_date").alias("event_date"))
           .agg(F.count(F.lit(1)).alias("transactions"), F.count_distinct("player_id").alias("paying_users"),
-               F.sum("usd_amount").alias("revenue"))
+               money_sum("usd_amount").alias("revenue"))
           .withColumn("revenue_type", F.lit("purchase")))
     u = ad.unionByName(ip).join(dau.select("event_date", "dau"), "event_date", "left")
     return u.select(
