@@ -10,4 +10,21 @@ DRIVER_TABLES = ("region nation customer supplier part orders lineitem events do
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; projections and filters applied later are pushed into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster's cores.
+
+    A table stored as a few large unsplittable files (one row group each)
+    scans in fewer tasks than there are cores, and every stage fused with the
+    scan inherits that. Such a scan is round-robin repartitioned to the default
+    parallelism; projections and filters are still pushed below the exchange
+    into the scan. A scan that already has enough splits (the normal case for
+    a large table of many files) is returned unchanged, so no shuffle is added
+    at scale.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
