@@ -22,10 +22,15 @@ from playgrid.operators.rel import latest_version
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
               compression: str = "snappy") -> str:
     """K-01 / K-08 / K-10 / K-12: full rebuild, optionally partitioned (e.g. by day or month)
-    and sorted inside each file by the sort key."""
+    and sorted inside each file by the sort key.
+
+    Rows are clustered by the partition columns with a ``rebalance`` hint:
+    AQE coalesces small day/month groups and splits a hot one over several
+    tasks (and files), so one big day is not a single straggler task.
+    """
     out = df
     if partition_by:
-        out = out.repartition(*partition_by)
+        out = out.hint("rebalance", *partition_by)
     if sort_within:
         out = out.sortWithinPartitions(*sort_within)
     w = out.write.mode("overwrite").option("compression", compression)

@@ -21,4 +21,8 @@ def q_daily_stats_by(spark, sf):
 
 @query("currency_rates")
 def q_currency_rates(spark, sf):
-    return ingest.currency_rates_etl(ingest.api_rate_docs(spark, sf))
+    import uuid
+
+    from playgrid.session import checkpoint_dir
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/landing/currency_rates-{uuid.uuid4().hex[:12]}"
+    return ingest.currency_rates_etl(ingest.api_rate_docs(spark, sf), stage_dir=stage)

@@ -275,10 +275,17 @@ def iap_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                             "o_orderstatus", "o_orderpriority")
     o = o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
-    return o.select(
+    rows = o.select(
         F.concat(F.lit("p"), _s(F.col("o_custkey"))).alias("player_id"),
         F.date_add(F.lit("2024-01-02").cast("date"), (F.col("o_orderkey") % 10).cast("int")).alias("event_date"),
         (F.floor(F.col("o_totalprice") / 1000) / 100.0).alias("revenue_amount"))
+    # the seed is a CSV file with declared column types: lay it down, read it back typed
+    import uuid
+
+    from playgrid.session import checkpoint_dir
+    from playgrid.sources.files import SEED_SCHEMAS, read_seed_csv, write_seed_csv
+    path = f"{checkpoint_dir(spark).rstrip('/')}/seeds/iap_backfill-{uuid.uuid4().hex[:12]}"
+    return read_seed_csv(spark, write_seed_csv(rows, path), SEED_SCHEMAS["iap_backfill"])
 
 
 def user_props(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -249,8 +249,14 @@ def api_rate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.col("update_at").alias("fetched_at"), body.alias("body"))
 
 
-def currency_rates_etl(docs: DataFrame) -> DataFrame:
-    """M-42: rate documents -> (business_date, base, target, rate, update_at), upsert on the date key."""
+def currency_rates_etl(docs: DataFrame, stage_dir: str | None = None) -> DataFrame:
+    """M-42: rate documents -> (business_date, base, target, rate, update_at), upsert on the date key.
+
+    With ``stage_dir`` the exploded rows go through a landing Parquet file
+    partitioned by day (snappy), whose physical types are those of the
+    extraction step (business_date as an epoch-day integer); the load reads it
+    back with ``read_parquet_cast`` before the upsert.
+    """
     schema = T.StructType([T.StructField("base_code", T.StringType()),
                            T.StructField("time_last_update_utc", T.StringType()),
                            T.StructField("conversion_rates", T.MapType(T.StringType(), T.DoubleType()))])
@@ -261,4 +267,12 @@ def currency_rates_etl(docs: DataFrame) -> DataFrame:
         F.col("d.base_code").alias("base_currency"),
         F.explode("d.conversion_rates").alias("target_currency", "rate"),
         F.col("fetched_at").alias("update_at"))
+    if stage_dir is not None:
+        from playgrid.operators.sinks import overwrite
+        from playgrid.sources.files import read_parquet_cast
+        landed = rows.select(F.unix_date("business_date").alias("business_date"), "base_currency",
+                             "target_currency", "rate", "update_at", F.col("business_date").alias("day"))
+        overwrite(landed, stage_dir, partition_by=["day"])
+        rows = read_parquet_cast(docs.sparkSession, stage_dir, timestamp_cols=["update_at"],
+                                 epoch_day_cols=["business_date"]).drop("day")
     return latest_version(rows, ["business_date", "base_currency", "target_currency"], ["update_at"])
