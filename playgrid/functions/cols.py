@@ -28,6 +28,27 @@ def prop(path: str, payload="properties") -> Column:
     return F.nullif(prop_raw(path, payload), F.lit(""))
 
 
+def json_fields(keys, payload="properties") -> Column:
+    """One parse of a JSON payload for several top-level keys: a struct of
+    string fields, each holding the same text ``get_json_object`` returns for
+    ``$.key`` (strings unquoted, other values as JSON text, NULL when missing
+    or JSON null; keys match case-sensitively). Reading k fields costs one
+    parse per row instead of k. For a key repeated inside one object the last
+    occurrence wins."""
+    from pyspark.sql.types import StringType, StructField, StructType
+    return F.from_json(c(payload), StructType([StructField(k, StringType()) for k in keys]))
+
+
+def field_raw(parsed: Column, key: str) -> Column:
+    """``prop_raw`` over a ``json_fields`` struct: missing reads as ''."""
+    return F.coalesce(parsed.getField(key), F.lit(""))
+
+
+def field(parsed: Column, key: str) -> Column:
+    """``prop`` over a ``json_fields`` struct: '' maps to NULL."""
+    return F.nullif(field_raw(parsed, key), F.lit(""))
+
+
 # ---------------------------------------------------------------- safe casts
 def int_or_null(x, dtype: str = "int") -> Column:
     """Strict integer parse: digits only, anything else (incl. '1.5', '') -> NULL."""

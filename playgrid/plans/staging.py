@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playgrid.functions.cols import (float_or_null, float_or_null_comma, int_or_null, prop,
-                                     prop_raw, ts_or_null)
+from playgrid.functions.cols import (field, field_raw, float_or_null, float_or_null_comma, int_or_null,
+                                     json_fields, prop, prop_raw, ts_or_null)
 from playgrid.operators.rel import asof_lookup, latest_version
 from playgrid.sources import adapters as A
 
@@ -23,21 +23,28 @@ def events_final(raw: DataFrame) -> DataFrame:
 
 
 def stg_events(final_events: DataFrame) -> DataFrame:
-    """M-01: deduplicated events (``events_final``) with the common payload fields typed."""
-    e = final_events
+    """M-01: deduplicated events (``events_final``) with the common payload fields typed.
+
+    The payload is parsed once per row (``json_fields``) and every typed
+    column reads the parsed struct.
+    """
+    keys = ["country", "version", "abVersion", "chapter", "daysSinceRegistration", "allChapterTries",
+            "revenue", "type", "currency", "source"]
+    e = final_events.select("*", json_fields(keys).alias("_p"))
+    p = F.col("_p")
     return e.select(
         "id", F.col("name").alias("event_name"), "player_id", "session_id", "client_session_id",
         "event_at", F.to_date("event_at").alias("event_date"), F.col("source").alias("event_source"),
-        prop("country").alias("country"),
-        prop("version").alias("app_version"),
-        prop("abVersion").alias("ab_version"),
-        prop("chapter").alias("chapter_raw"),
-        int_or_null(prop_raw("daysSinceRegistration")).alias("days_since_registration"),
-        int_or_null(prop_raw("allChapterTries")).alias("all_chapter_tries"),
-        float_or_null_comma(prop_raw("revenue")).alias("revenue_amount"),
-        prop("type").alias("revenue_type"),
-        prop("currency").alias("revenue_currency"),
-        prop("source").alias("action_source"),
+        field(p, "country").alias("country"),
+        field(p, "version").alias("app_version"),
+        field(p, "abVersion").alias("ab_version"),
+        field(p, "chapter").alias("chapter_raw"),
+        int_or_null(field_raw(p, "daysSinceRegistration")).alias("days_since_registration"),
+        int_or_null(field_raw(p, "allChapterTries")).alias("all_chapter_tries"),
+        float_or_null_comma(field_raw(p, "revenue")).alias("revenue_amount"),
+        field(p, "type").alias("revenue_type"),
+        field(p, "currency").alias("revenue_currency"),
+        field(p, "source").alias("action_source"),
         "properties", "context", "received_at", "ingested_at")
 
 
