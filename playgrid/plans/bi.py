@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.functions.cols import (float_or_null, float_or_null_comma, int_or_null, lifetime_bucket,
+from playgrid.functions.cols import (field, field_raw, float_or_null, float_or_null_comma, int_or_null,
+                                     json_fields, lifetime_bucket,
                                      lifetime_order, prop, prop_raw, safe_div, spend_category, version_gte)
 from playgrid.operators.rel import last_known
 
@@ -181,29 +182,39 @@ def bi_revenue(ads: DataFrame, iap_rows: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ progression
+# payload keys read by fct_level_events (one parse per row; the isStarMode /
+# IsStarMode case variants are read by path, a struct cannot hold both)
+LEVEL_PAYLOAD_KEYS = [
+    "isTest", "chapter", "version", "abVersion", "country", "locale", "daysSinceRegistration",
+    "allChapterTries", "IsWin", "runId", "chapterRunNumber", "BattlesCount", "AvgRounds",
+    "AvgHpPercent", "energy_spend", "playerPower"
+]
+
+
 def fct_level_events(final_events: DataFrame, campaign: DataFrame, min_version: str = MIN_VERSION,
                      fail_version: str = FAIL_TRACKING_VERSION) -> DataFrame:
     """M-32: chapter play events mapped to level_start / level_complete / level_fail."""
-    e = final_events.filter(
-        F.col("name").isin("story_start", "chapter_fight_summary", "chapter_finish")
-        & (prop_raw("isTest") != "true"))
+    e = (final_events.filter(F.col("name").isin("story_start", "chapter_fight_summary", "chapter_finish"))
+         .select("*", json_fields(LEVEL_PAYLOAD_KEYS).alias("_p")))
+    p = F.col("_p")
+    e = e.filter(field_raw(p, "isTest") != "true")
     ev = e.select(
         F.col("id").alias("event_id"), "event_at", F.to_date("event_at").alias("event_date"),
         F.col("name").alias("source_event"), "player_id",
-        int_or_null(prop_raw("chapter")).alias("chapter"),
-        prop("version").alias("app_version"), prop("abVersion").alias("ab_version"),
-        prop("country").alias("country"), prop("locale").alias("locale"),
-        int_or_null(prop_raw("daysSinceRegistration")).alias("days_since_registration"),
-        int_or_null(prop_raw("allChapterTries")).alias("all_chapter_tries"),
+        int_or_null(field_raw(p, "chapter")).alias("chapter"),
+        field(p, "version").alias("app_version"), field(p, "abVersion").alias("ab_version"),
+        field(p, "country").alias("country"), field(p, "locale").alias("locale"),
+        int_or_null(field_raw(p, "daysSinceRegistration")).alias("days_since_registration"),
+        int_or_null(field_raw(p, "allChapterTries")).alias("all_chapter_tries"),
         (F.lower(F.coalesce(prop("isStarMode"), prop("IsStarMode"))) == "true").alias("is_star_mode"),
-        F.lower(prop_raw("IsWin")).alias("is_win_raw"),
-        prop("runId").alias("run_id"),
-        int_or_null(prop_raw("chapterRunNumber")).alias("chapter_run_number"),
-        int_or_null(prop_raw("BattlesCount")).alias("battles_count"),
-        float_or_null(prop_raw("AvgRounds")).alias("avg_rounds"),
-        float_or_null(prop_raw("AvgHpPercent")).alias("avg_hp_percent"),
-        int_or_null(prop_raw("energy_spend")).alias("energy_spend"),
-        float_or_null(prop_raw("playerPower")).alias("player_power"))
+        F.lower(field_raw(p, "IsWin")).alias("is_win_raw"),
+        field(p, "runId").alias("run_id"),
+        int_or_null(field_raw(p, "chapterRunNumber")).alias("chapter_run_number"),
+        int_or_null(field_raw(p, "BattlesCount")).alias("battles_count"),
+        float_or_null(field_raw(p, "AvgRounds")).alias("avg_rounds"),
+        float_or_null(field_raw(p, "AvgHpPercent")).alias("avg_hp_percent"),
+        int_or_null(field_raw(p, "energy_spend")).alias("energy_spend"),
+        float_or_null(field_raw(p, "playerPower")).alias("player_power"))
     ver = F.coalesce("app_version", F.lit(""))
     ev = ev.filter(version_gte(ver, min_version)).withColumn("has_fail_tracking", version_gte(ver, fail_version))
     src, win = F.col("source_event"), F.col("is_win_raw")
