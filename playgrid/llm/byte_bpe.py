@@ -14,9 +14,7 @@ import re
 import regex
 
 _CUT = re.compile(r"(?<=\S) ")
-_SPACES = re.compile(r"\s ")
 MEMO_WORDS = 400_000
-LONG_WORD = 64
 
 #: The printable characters that stand for the 256 bytes in byte-level vocabularies.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -27,6 +25,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in _PRINTABLE else chr(next(rest)) for b in range(256)]
 
 
+class UncutSpace(Exception):
+    """White space beside a space: the text must be cut by ``words`` instead of at every space."""
+
+
 class Splitter:
     """Cuts texts into words and words into pre-tokens."""
 
@@ -53,6 +55,14 @@ class Splitter:
     @staticmethod
     def words(segment: str) -> list[str]:
         """Words, without the space before each but the first."""
-        if _SPACES.search(segment):
-            return _CUT.split(segment)
-        return segment.split(" ")
+        return _CUT.split(segment)
+
+    def pieces(self, word: str) -> list[str]:
+        """Pre-tokens of a space and a word that came of a cut at every space; UncutSpace if the cut was none."""
+        if word.isalpha():
+            return [" " + word]
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise UncutSpace
+        if word[:-1].isalpha() and word[-1] in ".,;:!?":
+            return [" " + word[:-1], word[-1]]
+        return self.pretokens(" " + word)

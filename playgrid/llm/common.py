@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -16,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from the folder it lies in (on a cluster: ``--py-files`` or that folder)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), *env.get("PYTHONPATH", "").split(os.pathsep)]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it.
 
@@ -65,13 +75,18 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20)
 
 
 class Memo(dict):
-    """A memo of bounded size: on overflow the entries become the old generation, and the one before goes."""
+    """A memo of bounded size: on overflow the entries become the old generation, and the one before goes.
+
+    Keys longer than ``longest`` are made anew each time.
+    """
 
-    def __init__(self, make: Callable, most: int):
+    def __init__(self, make: Callable, most: int, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.old = make, most, {}
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 
-from playgrid.llm import sentencepiece_bpe, token_counts, token_store
-from playgrid.llm.common import table
+from playgrid.llm import (decontaminate, license_scan, quality_rules, sentencepiece_bpe, token_counts, token_store,
+                          toxicity, url_filter)
+from playgrid.llm.common import importable, table
 
 QUERIES = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark, sf_dir):
+        importable(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -31,3 +39,28 @@ def op3_token_counts(spark, sf_dir):
 @query
 def op5_token_store(spark, sf_dir):
     return token_store.store_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    return license_scan.labelled(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_decontaminate(spark, sf_dir):
+    return decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))

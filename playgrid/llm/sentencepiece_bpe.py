@@ -33,8 +33,7 @@ from pyspark.sql import functions as F
 from playgrid.llm.common import Memo
 
 MARK = "▁"
-MEMO_WORDS = 300_000
-LONG_WORD = 64  # longer words are not kept in the memo
+MEMO_WORDS = 600_000
 
 
 class PieceBPE:
@@ -138,7 +137,7 @@ class _Worker:
     def __init__(self, model_file: str):
         self.bpe = PieceBPE(model_file)
         self.fresh: dict[str, tuple] = {}
-        self.wrong: set[str] = set()
+        self.wrong: dict[str, tuple[bytes, bytes]] = {}
         self.memo = Memo(self.make, MEMO_WORDS)
 
     @classmethod
@@ -174,20 +173,18 @@ class _Worker:
         """For each text: ids as little-endian 32-bit integers, spelling, words unlike the library's."""
         rows = [self.parts(t) if t else [] for t in texts]
         got = [self.look(r) for r in rows]
-        if self.fresh and (wrong := self.checked()):
-            self.memo.update(wrong)
-            self.wrong.update(wrong)
-            got = [self.look(r) for r in rows]
+        if self.fresh:
+            self.wrong |= self.checked()
         out = []
         for r, g in zip(rows, got):
+            if bad := sum(map(self.wrong.__contains__, r)) if self.wrong else 0:
+                g = [self.wrong.get(w, x) for w, x in zip(r, g)]
             ids, spelt = (b"".join(x) for x in zip(*g)) if g else (b"", b"")
-            out.append((ids, spelt.removeprefix(b" "), sum(w in self.wrong for w in r) if self.wrong else 0))
+            out.append((ids, spelt.removeprefix(b" "), bad))
         return out
 
     def look(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        if max(map(len, words), default=0) <= LONG_WORD:
-            return list(map(self.memo.__getitem__, words))
-        return [self.memo[w] if len(w) <= LONG_WORD else self.make(w) for w in words]
+        return list(map(self.memo.__getitem__, words))
 
 
 def encoder(model_file: str, digest: bool = False):

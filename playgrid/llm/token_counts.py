@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.byte_bpe import LONG_WORD, MEMO_WORDS, Splitter, byte_letters
+from playgrid.llm.byte_bpe import MEMO_WORDS, Splitter, UncutSpace, byte_letters
 from playgrid.llm.common import Memo
 
 
@@ -49,9 +49,9 @@ class PrefixCounter:
         tokens = [raw(t) for t in self.split.vocab if t not in self.split.specials]
         self.tokens = {t for t in tokens if len(t) == 1 or t in self.rank}
         self.longest = max(map(len, self.tokens))
-        self.apart = Memo(lambda ut: self.bpe(ut[0] + ut[1], 3) == [*ut], 1_000_000)
+        self.apart = Memo(lambda ut: self.bpe(ut[0] + ut[1]) == [*ut], 500_000)
         self.pretoken = Memo(self.run, MEMO_WORDS)
-        self.word = Memo(lambda w: sum(self.pretoken[p][-1] for p in self.split.pretokens(w)), MEMO_WORDS)
+        self.word = Memo(lambda w: sum(self.pretoken[p][-1] for p in self.split.pieces(w)), MEMO_WORDS)
 
     @classmethod
     def of(cls, tokenizer_json: str) -> "PrefixCounter":
@@ -59,7 +59,7 @@ class PrefixCounter:
             cls.made[tokenizer_json] = cls(tokenizer_json)
         return cls.made[tokenizer_json]
 
-    def bpe(self, piece: bytes, most: int = 0) -> list[bytes]:
+    def bpe(self, piece: bytes) -> list[bytes]:
         """Merges in the order of their ranks (for pairs of tokens, which are short)."""
         parts = [piece[i:i + 1] for i in range(len(piece))]
         rank = self.rank
@@ -90,8 +90,7 @@ class PrefixCounter:
 
     def total(self, fragment: str) -> int:
         """Tokens of a stretch without special tokens that is encoded from its start."""
-        return sum(self.pretoken[p][-1] if len(p) <= LONG_WORD else self.run(p)[-1]
-                   for p in self.split.pretokens(fragment))
+        return sum(self.pretoken[p][-1] for p in self.split.pretokens(fragment))
 
     def boundaries(self, text: str) -> tuple[list[str], list[int]]:
         """The words of a text (spaces and special tokens included) and the counts up to each word's end."""
@@ -99,17 +98,17 @@ class PrefixCounter:
         counts: list[int] = []
         names = {i: s for s, i in self.split.specials.items()}
         for segment, special in self.split.segments(text):
-            first, *rest = self.split.words(segment)
+            first, *rest = segment.split(" ")
+            try:
+                more = list(map(self.word.__getitem__, rest))
+            except UncutSpace:
+                first, *rest = self.split.words(segment)
+                more = [self.total(" " + w) for w in rest]
             if first:
                 words.append(first)
                 counts.append(self.total(first))
-            if rest:
-                rest = list(map(" ".__add__, rest))
-                words += rest
-                if max(map(len, rest)) <= LONG_WORD:
-                    counts += map(self.word.__getitem__, rest)
-                else:
-                    counts += [self.word[w] if len(w) <= LONG_WORD else self.total(w) for w in rest]
+            words += map(" ".__add__, rest)
+            counts += more
             if special is not None:
                 words.append(names[special])
                 counts.append(1)

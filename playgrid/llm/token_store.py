@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playgrid.llm.byte_bpe import LONG_WORD, MEMO_WORDS, Splitter, byte_letters
+from playgrid.llm.byte_bpe import MEMO_WORDS, Splitter, UncutSpace, byte_letters
 from playgrid.llm.common import Memo, shared_dir
 
 MAGIC = b"PLN1"
@@ -91,7 +91,7 @@ class WordEncoder:
         self.model = Tokenizer.from_file(tokenizer_json).model
         self.letters = dict(enumerate(byte_letters()))
         self.pretoken = Memo(self._pretoken, MEMO_WORDS)
-        self.word = Memo(lambda w: b"".join(map(self.pretoken.__getitem__, self.split.pretokens(" " + w))), MEMO_WORDS)
+        self.word = Memo(lambda w: b"".join(map(self.pretoken.__getitem__, self.split.pieces(w))), MEMO_WORDS)
 
     @classmethod
     def of(cls, tokenizer_json: str) -> "WordEncoder":
@@ -104,19 +104,19 @@ class WordEncoder:
         return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
 
     def _fragment(self, s: str) -> bytes:
-        return b"".join(self.pretoken[p] if len(p) <= LONG_WORD else self._pretoken(p)
-                        for p in self.split.pretokens(s))
+        return b"".join(map(self.pretoken.__getitem__, self.split.pretokens(s)))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
         out = []
         for segment, special in self.split.segments(text):
-            first, *rest = self.split.words(segment)
-            out.append(self._fragment(first))
-            if max(map(len, rest), default=0) <= LONG_WORD:
-                out.extend(map(self.word.__getitem__, rest))
-            else:
-                out.extend(self.word[w] if len(w) <= LONG_WORD else self._fragment(" " + w) for w in rest)
+            first, *rest = segment.split(" ")
+            try:
+                more = b"".join(map(self.word.__getitem__, rest))
+            except UncutSpace:
+                first, *rest = self.split.words(segment)
+                more = b"".join(self._fragment(" " + w) for w in rest)
+            out += [self._fragment(first), more]
             if special is not None:
                 out.append(np.array([special], "<u4").tobytes())
         return b"".join(out)
