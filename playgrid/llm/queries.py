@@ -6,7 +6,7 @@ from functools import wraps
 
 import public_tokenizers
 
-from playgrid.llm import (decontaminate, license_scan, quality_rules, sentencepiece_bpe, token_counts, token_store,
+from playgrid.llm import (decontaminate, license_scan, ngram_join, quality_rules, sentencepiece_bpe, token_counts, token_store,
                           toxicity, url_filter)
 from playgrid.llm.common import importable, table
 
@@ -64,3 +64,8 @@ def op8_url_filter(spark, sf_dir):
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
