@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,26 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20)
             at = to
 
 
+BITMAP_BITS = 27
+
+
+def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """A bitmap of the column's low bits: 2^bits bits, whatever the input's size."""
+    place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    rows = values.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p")).groupBy("k").agg(
+        F.bitmap_construct_agg("p").alias("b")).collect()
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for r in rows:
+        out[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(bytes(r["b"]), np.uint8)
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values' low bits are set: all that the bitmap was made of, and a few others."""
+    place = values.astype(np.int64, copy=False) & (8 * len(bitmap) - 1)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+
 class Memo(dict):
     """A memo of bounded size: on overflow the entries become the old generation, and the one before goes.
 
@@ -143,3 +164,18 @@ WORD_ALNUM = np.ones(256, bool)
 WORD_ALNUM[[*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = False  # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32  # A-Z only
+
+
+def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose key is in ``gone``; rows that a bitmap of the gone keys clears are not shuffled."""
+    name = "_gone_key"
+    gone = written(gone.select(F.xxhash64(key).alias(name), F.col(key).alias("_gone")).distinct(), "gone")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(gone, name))
+
+    @F.arrow_udf("boolean")
+    def maybe(keys: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(bitmap.value, keys.to_numpy()))
+
+    keyed = docs.withColumn(name, F.xxhash64(key))
+    hit = keyed.filter(maybe(F.col(name))).join(gone.select("_gone"), keyed[key].eqNullSafe(F.col("_gone")), "left_anti")
+    return keyed.filter(~maybe(F.col(name))).unionByName(hit).drop(name)

@@ -6,8 +6,8 @@ from functools import wraps
 
 import public_tokenizers
 
-from playgrid.llm import (decontaminate, license_scan, ngram_join, quality_rules, sentencepiece_bpe, token_counts, token_store,
-                          toxicity, url_filter)
+from playgrid.llm import (decontaminate, license_scan, ngram_join, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts,
+                          token_store, toxicity, url_filter)
 from playgrid.llm.common import importable, table
 
 QUERIES = {}
@@ -69,3 +69,8 @@ def op10_quality_rules(spark, sf_dir):
 @query
 def op4_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup_documents(table(spark, sf_dir, "documents"))
