@@ -3,8 +3,8 @@
 Each callable derives the reference-shaped inputs from the driver tables of
 ``sf_dir`` and runs the pipeline on all of it. Shared parents are expressed as
 plain DataFrame composition; Catalyst dedups the common sub-plans only through
-exchange reuse, so callers that run many marts in one job may ``persist`` the
-staged events (see ``bench.py``).
+exchange reuse, so what several parts of a plan read is written once per query (``Ctx.mat``);
+a lone reader of the event log streams through it.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from playgrid.session import apply_conf
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_INPUT_PLANS: dict[tuple, DataFrame] = {}
 
 
 def query(name: str):
@@ -58,19 +57,16 @@ class Ctx:
 
     # inputs
     def inp(self, name: str) -> DataFrame:
-        """Reference-shaped input plan (analysed once per session and folder, no data cached)."""
+        """Reference-shaped input plan (analysed once per query, no data cached)."""
         from playgrid.sources import adapters as A
         fns = {"events": A.game_events, "profiles": A.raw_profiles, "accounts": A.raw_accounts,
                "transactions": A.raw_transactions, "rates": A.currency_rates,
                "backfill": A.iap_backfill, "user_props": A.user_props}
-        key = (id(self.spark), self.sf_dir, name)
-        if key not in _INPUT_PLANS:
-            _INPUT_PLANS[key] = fns[name](self.spark, self.sf_dir)
-        return _INPUT_PLANS[key]
+        return self.get(f"inp:{name}", lambda: fns[name](self.spark, self.sf_dir))
 
     # staging / intermediate
     def final(self):
-        """The deduplicated event log (FINAL read), materialized once per query."""
+        """The deduplicated event log (FINAL read), materialized once per query that reads it more than once."""
         from playgrid.plans import staging as S
         if self.single:
             return self.get("final", lambda: S.events_final(self.inp("events")))
@@ -138,7 +134,3 @@ def stable(df: DataFrame, digits: int = 9) -> DataFrame:
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 
-
-def double_cols(df: DataFrame) -> list[str]:
-    from pyspark.sql.types import DoubleType, FloatType
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]

@@ -38,10 +38,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings to an existing session (driver-provided ones too)."""
-    for k, v in SESSION_CONF.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
+    """Timestamps are UTC; every other setting of an existing session is the cluster's."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -54,18 +52,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="playgrid-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives lost executors)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate mart as Parquet under the shared checkpoint folder and read it back.
 

@@ -120,7 +120,7 @@ def conversions(pages: DataFrame) -> DataFrame:
     r = latest_version(r, ["conversion_id"], ["page", "pos"])
 
     def ts(name):
-        return F.to_timestamp(F.nullif(F.col(f"c.{name}"), F.lit("")), "yyyy-MM-dd HH:mm:ss").alias(name)
+        return F.try_to_timestamp(F.nullif(F.col(f"c.{name}"), F.lit("")), F.lit("yyyy-MM-dd HH:mm:ss")).alias(name)
 
     cols = [F.col("conversion_id"), ts("conversion_datetime"), ts("updated_at"), ts("click_datetime"),
             F.col("c.payment_model").alias("payment_model"),
@@ -216,7 +216,7 @@ def daily_stats(stats: DataFrame) -> DataFrame:
     r = r.select("loaded_at", "r",
                  F.get(F.filter("r.group_fields", lambda g: g["group_field"] == "day"), 0)["id"].alias("day_s"))
     r = r.filter(F.col("day_s").isNotNull() & (F.col("day_s") != ""))
-    flat = r.select(F.to_date("day_s").alias("day"), *_metrics(), F.col("loaded_at").alias("_loaded_at"))
+    flat = r.select(F.col("day_s").try_cast("date").alias("day"), *_metrics(), F.col("loaded_at").alias("_loaded_at"))
     return latest_version(flat, ["day"], ["_loaded_at"]).drop("_loaded_at")
 
 
@@ -263,7 +263,7 @@ def currency_rates_etl(docs: DataFrame, stage_dir: str | None = None) -> DataFra
     d = docs.select("fetched_at", F.from_json("body", schema).alias("d"))
     upd = F.substring_index(F.col("d.time_last_update_utc"), ", ", -1)
     rows = d.select(
-        F.to_date(F.to_timestamp(upd, "dd MMM yyyy HH:mm:ss Z")).alias("business_date"),
+        F.to_date(F.try_to_timestamp(upd, F.lit("dd MMM yyyy HH:mm:ss Z"))).alias("business_date"),
         F.col("d.base_code").alias("base_currency"),
         F.explode("d.conversion_rates").alias("target_currency", "rate"),
         F.col("fetched_at").alias("update_at"))
