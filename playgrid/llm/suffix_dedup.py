@@ -181,15 +181,41 @@ class IndexFamily:
         return written(self.whole.distinct(), "whole"), written(self.edges.distinct(), "edges")
 
 
+class _Seen:
+    """Values met before in a task, as far as a bounded set remembers."""
+
+    def __init__(self, most: int = 500_000):
+        self.values: set[int] = set()
+        self.most = most
+
+    def new(self, values: np.ndarray) -> np.ndarray:
+        if len(self.values) > self.most:
+            self.values.clear()
+        out = np.zeros(len(values), bool)
+        for k, v in enumerate(values.tolist()):
+            if v not in self.values:
+                self.values.add(v)
+                out[k] = True
+        return out
+
+
 def _block_rows(whole, edges):
-    """Texts -> rows of repeated runs (kind 0, key run) and of the blocks of edge runs (kind 1, key core)."""
+    """Texts -> rows of repeated runs (kind 0, core and whole the run) and of the blocks of edge runs (kind 1).
+
+    Copies are told once in a task: equal texts have equal rows of kind 0, and of a repeated run, whose places kind 0
+    has, blocks are only there for others to match.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, runs = _Seen(), _Seen()
         for b, t in _texts(batches):
             keys = b.column("text_key").to_numpy()
             run_hash = t.runs().view(np.int64)
-            full = np.flatnonzero(in_bitmap(whole.value, run_hash))
-            run, lo, n, core, block = t.blocks(np.flatnonzero(in_bitmap(edges.value, t.key.view(np.int64))))
+            repeated = in_bitmap(whole.value, run_hash)
+            full = np.flatnonzero(repeated & texts.new(keys)[t.doc])
+            edge = np.flatnonzero(in_bitmap(edges.value, t.key.view(np.int64)))
+            edge = edge[~repeated[edge] | runs.new(run_hash[edge])]
+            run, lo, n, core, block = t.blocks(edge)
             doc = np.concatenate((t.doc[full], t.doc[run]))
             at = np.concatenate((t.lo[full], lo)) - t.off[doc]
             yield pa.RecordBatch.from_arrays(
@@ -202,15 +228,20 @@ def _block_rows(whole, edges):
     return rows
 
 
-def _window_rows(edges, cores, texts):
-    """Texts -> hash and place of every window in a block whose core may be undecided."""
+def _window_rows(edges, cores, texts, single):
+    """Texts -> hash and place of every window in a block whose core may be undecided.
+
+    Blocks that occur twice as a whole are settled and stand here for others to match, once in a task.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = _Seen()
         some = (b.filter(pa.array(in_bitmap(texts.value, b.column("text_key").to_numpy()))) for b in batches)
         for b, t in _texts(some):
             keys = b.column("text_key").to_numpy()
-            run, lo, n, core, _ = t.blocks(np.flatnonzero(in_bitmap(edges.value, t.key.view(np.int64))))
+            run, lo, n, core, block = t.blocks(np.flatnonzero(in_bitmap(edges.value, t.key.view(np.int64))))
             ok = in_bitmap(cores.value, core.view(np.int64))
+            ok[ok] = in_bitmap(single.value, block.view(np.int64)[ok]) | told.new(block.view(np.int64)[ok])
             run, lo, n = run[ok], lo[ok], n[ok]
             at = np.repeat(lo, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             doc = np.repeat(t.doc[run], n)
@@ -239,12 +270,13 @@ def repeated_windows(texts: DataFrame, batches: int = 2) -> DataFrame:
     runs = rows.filter("kind = 0").join(whole, F.col("core") == F.col("run"), "left_semi")
     blocks = rows.filter("kind = 1")
     counts = written(blocks.groupBy("core", "whole").agg(F.count("*").alias("times")), "block-counts")
-    per_core = counts.groupBy("core").agg(F.count("*").alias("kinds"))
-    twice = counts.filter("times > 1").select("core", "whole")
-    open_cores = written(per_core.filter("kinds > 1").select("core"), "cores")
-    settled = blocks.join(twice, ["core", "whole"], "left_semi")
-    unsettled = written(blocks.join(open_cores, "core", "left_semi").select("text_key").distinct(), "open-texts")
-    windows = written(texts.mapInArrow(_window_rows(edge_bits, share(open_cores, "core"), share(unsettled, "text_key")),
+    open_cores = written(counts.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("core"), "cores")
+    state = counts.join(open_cores.withColumn("open", F.lit(True)), "core", "left").filter("times > 1 or open")
+    told = written(blocks.drop("kind").join(state, ["core", "whole"]), "told")
+    settled = told.filter("times > 1")
+    single = share(counts.filter("times = 1").join(open_cores, "core", "left_semi"), "whole")
+    unsettled = share(told.filter("open").select("text_key").distinct(), "text_key")
+    windows = written(texts.mapInArrow(_window_rows(edge_bits, share(open_cores, "core"), unsettled, single),
                                        "window bigint, text_key bigint, at int"), "windows")
     again = windows.groupBy("window").agg(F.count("*").alias("times")).filter("times > 1").select("window")
     single = windows.join(again, "window", "left_semi").select("text_key", "at", F.lit(1).alias("n"))
