@@ -150,7 +150,7 @@ class IndexFamily:
     def array(texts: DataFrame) -> DataFrame:
         """The suffix array of a batch: its entries, with counts, in order of their prefixes within each partition."""
         entries = texts.select("text").mapInArrow(_entries, "prefix bigint, run bigint")
-        return entries.repartition("prefix").groupBy("prefix", "run").agg(F.count("*").cast("int").alias("n")).sortWithinPartitions("prefix")
+        return entries.groupBy("prefix", "run").agg(F.count("*").cast("int").alias("n")).sortWithinPartitions("prefix")
 
     def _note(self, whole: DataFrame, edges: DataFrame) -> None:
         self.whole = whole if self.whole is None else self.whole.union(whole)
@@ -171,7 +171,7 @@ class IndexFamily:
         rank = 0
         while self.levels and self.levels[-1][0] == rank:
             _, old = self.levels.pop()
-            merged = new.union(old).repartition("prefix").groupBy("prefix", "run").agg(F.sum("n").cast("int").alias("n"))
+            merged = new.union(old).groupBy("prefix", "run").agg(F.sum("n").cast("int").alias("n"))
             new = written(merged.sortWithinPartitions("prefix"), "array")
             rank += 1
         self.levels.append((rank, new))
