@@ -15,10 +15,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(ORACLE)
+    from playgrid.plans import catalog  # noqa: F401
+    from playgrid.plans.registry import QUERIES
+    assert set(QUERIES) <= set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     r = compare(E.queries()[name](spark, SF), ORACLE[name], con)
     assert r["match"], r
