@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,7 +79,21 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 2 << 20)
 BITMAP_BITS = 27
 
 
-def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+class Bitmap:
+    """A set of low bits. Pickled, as for a broadcast, it is compressed: every executor keeps a file of it."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __reduce__(self):
+        return Bitmap._unpacked, (zstandard.compress(self.bits.tobytes(), 1), len(self.bits))
+
+    @staticmethod
+    def _unpacked(packed: bytes, size: int) -> "Bitmap":
+        return Bitmap(np.frombuffer(zstandard.decompress(packed, size), np.uint8))
+
+
+def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> Bitmap:
     """A bitmap of the column's low bits: 2^bits bits, whatever the input's size."""
     place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
     rows = values.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p")).groupBy("k").agg(
@@ -86,13 +101,13 @@ def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.nda
     out = np.zeros(1 << (bits - 3), np.uint8)
     for r in rows:
         out[(r["k"] - 1) * 4096:r["k"] * 4096] = np.frombuffer(bytes(r["b"]), np.uint8)
-    return out
+    return Bitmap(out)
 
 
-def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+def in_bitmap(bitmap: Bitmap, values: np.ndarray) -> np.ndarray:
     """Which values' low bits are set: all that the bitmap was made of, and a few others."""
-    place = values.astype(np.int64, copy=False) & (8 * len(bitmap) - 1)
-    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+    place = values.astype(np.int64, copy=False) & (8 * len(bitmap.bits) - 1)
+    return (bitmap.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
 
 
 class Memo(dict):
