@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.common import LOWER, WORD_ALNUM, mix, span_hashes, text_bytes, word_spans
+from playgrid.llm.common import LOWER, WORD_ALNUM, mix, span_hashes, text_bytes, tidy, word_spans
 
 WINDOW = 13
 SHARD_BYTES = 4 << 20
@@ -230,6 +230,7 @@ def finder(items: list[tuple[str, str | None]], window: int = WINDOW):
     made: list[Phrases] = []
 
     @F.arrow_udf(_KIND)
+    @tidy
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         phrases = made[0] if made else Phrases(items, window)
         for col in batches:

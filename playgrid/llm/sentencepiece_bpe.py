@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.common import Memo
+from playgrid.llm.common import Memo, tidy
 
 MARK = "▁"
 MEMO_WORDS = 600_000
@@ -196,6 +196,7 @@ def encoder(model_file: str, digest: bool = False):
             else "struct<n_tokens:bigint,ids:array<int>,decoded:string,n_unequal:bigint>")
 
     @F.arrow_udf(kind)
+    @tidy
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w = _Worker.of(model_file)
         begin, end = (np.array([i], "<u4").tobytes() for i in (w.bpe.bos, w.bpe.eos))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.common import bitmap_of, in_bitmap, mix, slices, text_bytes, written
+from playgrid.llm.common import bitmap_of, in_bitmap, mix, slices, text_bytes, tidy, written
 
 LENGTH = 200
 GRAM = 100
@@ -53,7 +53,7 @@ class _Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = 1 << max(22, n.bit_length())
+            size = 1 << max(21, n.bit_length())
             made = []
             for base in (_BASE, pow(_BASE, -1, 1 << 64)):
                 p = np.full(size, base, np.uint64)
@@ -133,6 +133,7 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+@tidy
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for _, t in _texts(batches):
         yield pa.RecordBatch.from_arrays([_signed(t.key), _signed(t.runs())], ["prefix", "run"])
@@ -206,6 +207,7 @@ def _block_rows(whole, edges):
     has, blocks are only there for others to match.
     """
 
+    @tidy
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, runs = _Seen(), _Seen()
         for b, t in _texts(batches):
@@ -234,6 +236,7 @@ def _window_rows(edges, cores, texts, single):
     Blocks that occur twice as a whole are settled and stand here for others to match, once in a task.
     """
 
+    @tidy
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         told = _Seen()
         some = (b.filter(pa.array(in_bitmap(texts.value, b.column("text_key").to_numpy()))) for b in batches)
@@ -294,6 +297,7 @@ def cutter(length: int = LENGTH, digest: bool = False):
 
     @F.arrow_udf("struct<n_bytes:bigint,n_removed:bigint,n_spans:bigint,"
                  + ("kept_sha256:string>" if digest else "kept:binary,kept_text:string>"))
+    @tidy
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, starts in batches:
             sizes, removed, spans, kept = [], [], [], []

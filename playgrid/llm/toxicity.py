@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.common import mix, written
+from playgrid.llm.common import mix, tidy, written
 
 BITS = 20
 ORDERS = (4, 5, 6)
@@ -76,6 +76,7 @@ def text_parts(col: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]
         yield part
 
 
+@tidy
 def _class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a task's rows: bucket, documents of either class that have it; bucket -1 counts the documents."""
     counts = np.zeros((2, 1 << BITS), np.int64)
@@ -155,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, penalt
     counts = written(counts, "toxic-counts")
     total = counts.filter("bucket < 0").collect()
     p, q = (total[0]["toxic"], total[0]["other"]) if total else (0, 0)
-    bias = float(np.log((p + 1) / (q + 1)))
+    bias = float(np.log((p + 1) / (q + 2)))  # without any labels a text counts as clean
     if not p or not q:
         return Model(np.empty(0, np.int64), np.empty(0), bias)
     share = (F.col("toxic") + F.col("other") + 1) / F.lit(p + q + 2)
@@ -165,6 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, penalt
     ratios = np.array([np.log((r["toxic"] + 1) / (p + 2)) - np.log((r["other"] + 1) / (q + 2)) for r in top])
     model = Model(buckets, np.zeros(len(top)), bias)
 
+    @tidy
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
@@ -188,6 +190,7 @@ def score_column(text: Column, model: Model) -> Column:
     """Probability of toxicity of each text."""
 
     @F.arrow_udf("double")
+    @tidy
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for col in batches:
             got = [model.scores(part) for part in text_parts(col)]
