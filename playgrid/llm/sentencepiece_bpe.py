@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from playgrid.llm.common import Memo, tidy
 
 MARK = "▁"
-MEMO_WORDS = 600_000
+MEMO_WORDS = 500_000
 
 
 class PieceBPE:
@@ -129,6 +129,16 @@ class PieceBPE:
         return self.spell(ids).removeprefix(" ")
 
 
+class _Odd(bytes):
+    """Ids of a word that they do not spell; ``spelt`` is what they do."""
+
+    @classmethod
+    def of(cls, ids: bytes, spelt: str) -> "_Odd":
+        out = cls(ids)
+        out.spelt = spelt
+        return out
+
+
 class _Worker:
     """The encoder with its memo, kept for the life of a Python worker."""
 
@@ -136,8 +146,8 @@ class _Worker:
 
     def __init__(self, model_file: str):
         self.bpe = PieceBPE(model_file)
-        self.fresh: dict[str, tuple] = {}
-        self.wrong: dict[str, tuple[bytes, bytes]] = {}
+        self.fresh: dict[str, bytes] = {}
+        self.wrong: dict[str, bytes] = {}
         self.memo = Memo(self.make, MEMO_WORDS)
 
     @classmethod
@@ -146,21 +156,23 @@ class _Worker:
             cls.made[model_file] = cls(model_file)
         return cls.made[model_file]
 
-    def make(self, word: str) -> tuple[bytes, bytes]:
-        """Ids and spelling of a mark followed by ``word``."""
+    def make(self, word: str) -> bytes:
+        """Ids of a mark followed by ``word``; the memo has the spelling only where it is not the word's own."""
         ids = self.bpe.merge(MARK + word)
-        entry = np.array(ids, "<u4").tobytes(), self.bpe.spell(ids).encode()
+        entry, spelt = np.array(ids, "<u4").tobytes(), self.bpe.spell(ids)
+        if spelt != " " + word.replace(MARK, " "):
+            entry = _Odd.of(entry, spelt)
         self.fresh[word] = entry
         return entry
 
-    def checked(self) -> dict[str, tuple[bytes, bytes]]:
+    def checked(self) -> dict[str, bytes]:
         """Checks what was merged since the last call; the words that the library encodes otherwise."""
         words, self_ids = list(self.fresh), list(self.fresh.values())
         self.fresh = {}
         sp, wrong = self.bpe.library, {}
         for w, own, ids in zip(words, self_ids, sp.encode([w.replace(MARK, " ") for w in words], num_threads=1)):
-            if w and np.array(ids, "<u4").tobytes() != own[0]:
-                wrong[w] = np.array(ids, "<u4").tobytes(), b" " + sp.decode(ids).encode()
+            if w and np.array(ids, "<u4").tobytes() != own:
+                wrong[w] = _Odd.of(np.array(ids, "<u4").tobytes(), " " + sp.decode(ids))
         return wrong
 
     def parts(self, text: str) -> list[str]:
@@ -179,11 +191,16 @@ class _Worker:
         for r, g in zip(rows, got):
             if bad := sum(map(self.wrong.__contains__, r)) if self.wrong else 0:
                 g = [self.wrong.get(w, x) for w, x in zip(r, g)]
-            ids, spelt = (b"".join(x) for x in zip(*g)) if g else (b"", b"")
-            out.append((ids, spelt.removeprefix(b" "), bad))
+            out.append((b"".join(g), self.spelt(r, g).encode(), bad))
         return out
 
-    def look(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+    @staticmethod
+    def spelt(words: list[str], ids: list[bytes]) -> str:
+        if _Odd not in set(map(type, ids)):
+            return " ".join(words).replace(MARK, " ")
+        return "".join(x.spelt if type(x) is _Odd else " " + w.replace(MARK, " ") for w, x in zip(words, ids)).removeprefix(" ")
+
+    def look(self, words: list[str]) -> list[bytes]:
         return list(map(self.memo.__getitem__, words))
 
 
