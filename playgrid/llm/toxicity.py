@@ -62,7 +62,7 @@ def grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield doc[:len(h)][ok], (h >> np.uint64(64 - BITS)).astype(np.int64)[ok]
 
 
-def text_parts(col: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]:
+def text_parts(col: pa.Array, most: int = 1 << 18) -> Iterator[list[str | None]]:
     """The texts of a column in runs of about ``most`` characters."""
     part, size = [], 0
     for at in range(0, len(col), 64):
