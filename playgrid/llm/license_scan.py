@@ -1,9 +1,11 @@
 """License scans: ordered signature rules behind a keyword prefilter, native DataFrame expressions only.
 
 A text is folded to lower-case words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ with single
-spaces. Each rule has a label, a priority, a keyword and a regular expression
+spaces. Each rule has a label, a priority, keywords and a regular expression
 over folded words. Texts that contain none of the few ``STEMS`` are done; of the
-others each rule runs only where its keyword stands. Detections are word
+others each rule runs only where one of its keywords stands. Both are read off
+the expressions: each of a rule's alternatives has a keyword and a stem in what
+it cannot leave out, so neither loses a detection. Detections are word
 intervals; one that lies within another of the same or a higher priority is
 suppressed (of equal intervals the higher priority stays, then the first label),
 found in one sweep over the intervals in order of their starts. The base phrases
@@ -24,19 +26,20 @@ from pyspark.sql import functions as F
 #: The base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 
-#: Signatures of names, as "label; keyword; regular expression over folded words".
+#: Signatures of names, as "label; keyword; regular expression over folded words". An alternative that can do
+#: without the keyword gets one of its own.
 NAMES = """
 apache-2.0; apache; apache (software )?licen[sc]e,?( version| v)?( 2( 0)?)
 apache-1.1; apache; apache (software )?licen[sc]e( version| v)? 1 1
 apache-1.0; apache; apache (software )?licen[sc]e( version| v)? 1 0
 apache; apache; apache (software )?licen[sc]e
 mit; mit; (the )?mit( x11| expat)? licen[sc]e
-mit-0; mit; mit no attribution( licen[sc]e)?
+mit-0; mit no attribution; mit no attribution( licen[sc]e)?
 x11; x11; x11 licen[sc]e
 expat; expat; expat licen[sc]e
-bsd-2-clause; bsd; (simplified|freebsd|(bsd )?2 clause|two clause)( bsd)? licen[sc]e
-bsd-3-clause; bsd; (new|revised|modified|(bsd )?3 clause|three clause) (bsd )?licen[sc]e
-bsd-4-clause; bsd; (original|old|(bsd )?4 clause|four clause) (bsd )?licen[sc]e
+bsd-2-clause; licen; (simplified|freebsd|(bsd )?2 clause|two clause)( bsd)? licen[sc]e
+bsd-3-clause; licen; (new|revised|modified|(bsd )?3 clause|three clause) (bsd )?licen[sc]e
+bsd-4-clause; licen; (original|old|(bsd )?4 clause|four clause) (bsd )?licen[sc]e
 bsd; bsd; bsd( style)? licen[sc]e
 0bsd; bsd; (zero clause bsd|bsd zero clause|0bsd)( licen[sc]e)?
 isc; isc; isc licen[sc]e
@@ -143,29 +146,24 @@ zlib; provided as is; this software is provided as is without any express or imp
 unlicense; free and unencumbered; this is free and unencumbered software released into the public domain
 public-domain; public domain; (released|placed|dedicated|is) (in|into|to) the public domain
 public-domain; public domain; no copyright (is )?(claimed|reserved) public domain
-public-domain; public domain; work of the united states government
+public-domain; united states government; work of the united states government
 gpl; redistribute it; you can redistribute it and or modify it under the terms of the gnu
 gpl; free software foundation; published by the free software foundation
 proprietary; proprietary; (confidential and proprietary|proprietary and confidential)
-proprietary; without permission; (reproduced?|copied|distributed) without( the)?( prior)?( written| express)? permission
+proprietary; permission; (reproduced?|copied|distributed) without( the)?( prior)?( written| express)? permission
 proprietary; end user; end user licen[sc]e agreement
 copyright; copyright; copyright( c)?( [0-9]{4})+( [0-9]{4})*
 copyright; copyright; copyright (by|of|holders?|owners?)
 copyright; copyrighted; (this|the) (work|material|text|content) is copyrighted
 reserved; rights reserved; some rights reserved
-reserved; rights reserved; all rights (are )?reserved
-reserved; droits; tous droits r[eé]serv[eé]s
-reserved; rechte; alle rechte vorbehalten
-reserved; derechos; todos los derechos reservados
+reserved; reserved; all rights (are )?reserved
+reserved; tous droits; tous droits r[eé]serv[eé]s
+reserved; vorbehalten; alle rechte vorbehalten
+reserved; derechos reservados; todos los derechos reservados
 """
 
 #: What a grant says before a name.
 GRANT = "(licen[sc]ed|released|distributed|available|published|made available|provided) under( the)?( terms of)?( the)?( conditions of the)? "
-#: Words of which each rule's expression implies one or more: without them a text has no detection.
-STEMS = ["licen", "lgpl", "gpl", "cc by", "cc0", "creative commons", "copyright", "reserv", "public domain", "spdx",
-         "apache", "opensource", "wtfpl", "eupl", "permission", "redistribut", "encumbered", "free software",
-         "provided as is", "proprietary", "united states", "terms as perl", "endorse or", "vorbehalten", "etalab",
-         "openrail", "open rail", "0bsd", "droits", "derechos"]
 PRIORITY = {"spdx": 4, "grant": 3, "notice": 3, "name": 2, "link": 1}
 WEIGHT = {4: 1.0, 3: 0.95, 2: 0.8, 1: 0.6, 0: 0.9}
 
@@ -174,8 +172,55 @@ def _rows(block: str) -> list[list[str]]:
     return [line.split("; ", 2) for line in block.strip().splitlines()]
 
 
+def alternatives(pattern: str) -> list[list[str]]:
+    """For each choice among an expression's alternatives, optional parts left out: the strings that any match of it
+    contains, in order. Character classes, optional parts and repetitions end a string."""
+    at = 0
+
+    def branch() -> list[str]:  # one text per choice, "\0" where a string ends
+        nonlocal at
+        texts = [""]
+        while at < len(pattern) and pattern[at] not in "|)":
+            c = pattern[at]
+            at += 1
+            if c == "(":
+                own = choices()
+                at += 1
+            elif c == "[":
+                at, own = pattern.index("]", at) + 1, ["\0"]
+            elif c.isalnum() or c in " ,":
+                own = [c]
+            else:
+                raise ValueError(f"{c!r} in {pattern!r}")
+            if pattern[at:at + 1] in ("?", "*"):
+                at, own = at + 1, ["\0"]
+            elif pattern[at:at + 1] == "+":
+                at, own = at + 1, [f"{x}\0{x}" for x in own]
+            elif pattern[at:at + 1] == "{":
+                at, own = pattern.index("}", at) + 1, [f"{x}\0" for x in own]
+            texts = [t + x for t in texts for x in own]
+        return texts
+
+    def choices() -> list[str]:
+        nonlocal at
+        texts = branch()
+        while pattern[at:at + 1] == "|":
+            at += 1
+            texts += branch()
+        return texts
+
+    return [[s for s in t.split("\0") if s] for t in choices()]
+
+
+def _keywords(keyword: str, pattern: str) -> str:
+    """Keywords of which any match contains one, joined by "|": the given one, but for alternatives that can do without
+    it their longest string."""
+    own = [keyword if any(keyword in s for s in strings) else max(strings, key=len) for strings in alternatives(pattern)]
+    return "|".join(dict.fromkeys(own))
+
+
 def rules() -> list[tuple[str, int, str, str]]:
-    """(label, priority, keyword, regular expression), in order."""
+    """(label, priority, keywords, regular expression), in order."""
     out = [(label, 0, phrase, phrase) for phrase, label in BASE]
     labels = dict.fromkeys(label for label, _, _ in _rows(NAMES))
     for label in labels:
@@ -190,7 +235,21 @@ def rules() -> list[tuple[str, int, str, str]]:
     for label in labels:
         words = label.replace("-", " ").replace(".", " ")
         out.append((label, PRIORITY["link"], "opensource org", f"opensource org licen[sc]es? {words}"))
-    return out
+    return [(label, p, _keywords(keyword, pattern), pattern) for label, p, keyword, pattern in out]
+
+
+def _stems() -> list[str]:
+    """Strings of which any match of any rule contains one: "licen" where it must stand, else the alternative's keyword."""
+    out = set()
+    for _, _, keywords, pattern in rules():
+        for strings in alternatives(pattern):
+            if not any("licen" in s for s in strings):
+                out.add(next(k for k in keywords.split("|") if any(k in s for s in strings)))
+    out.add("licen")
+    return sorted(s for s in out if not any(o in s for o in out - {s}))
+
+
+STEMS = _stems()
 
 
 def folded(text: Column) -> Column:
@@ -227,16 +286,18 @@ def _places(words: Column, rule: Column) -> Column:
 
 def detections(words: Column) -> Column:
     """All detections in a folded text, before any is suppressed."""
-    by_keyword: dict[str, list[Column]] = {}
-    for label, p, keyword, pattern in rules():
-        by_keyword.setdefault(keyword, []).append(F.struct(
+    by_keywords: dict[str, list[Column]] = {}
+    for label, p, keywords, pattern in rules():
+        by_keywords.setdefault(keywords, []).append(F.struct(
             F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(f" (?:{pattern})(?= )").alias("regex")))
-    table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*own).alias("rules")) for k, own in by_keyword.items()])
+    table = F.array(*[F.struct(F.array(*map(F.lit, k.split("|"))).alias("keywords"), F.array(*own).alias("rules"))
+                      for k, own in by_keywords.items()])
     gate = F.lit(False)
     for stem in STEMS:
         gate = gate | F.contains(words, F.lit(stem))
     none = F.array().cast("array<struct<start:int,stop:int,label:string,priority:int>>")
-    run = F.flatten(F.transform(F.filter(table, lambda k: F.contains(words, k["keyword"])), lambda k: k["rules"]))
+    run = F.flatten(F.transform(F.filter(
+        table, lambda t: F.exists(t["keywords"], lambda k: F.contains(words, k))), lambda t: t["rules"]))
     return F.when(gate, F.flatten(F.transform(run, lambda r: _places(words, r)))).otherwise(none)
 
 

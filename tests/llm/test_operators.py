@@ -4,6 +4,7 @@ import random
 import sys
 import zlib
 from pathlib import Path
+from re import _parser as parser
 
 import numpy as np
 import pytest
@@ -61,6 +62,38 @@ def test_license_rules_need_their_stems():
         assert any(s in keyword or s in pattern.replace("[sc]", "c").replace("licence", "licen") for s in license_scan.STEMS), (label, pattern)
 
 
+def shortest(pattern, optional=0):
+    """One text per choice among the alternatives of an expression, optional parts left out (1: taken)."""
+    def walk(items):
+        texts = [""]
+        for op, arg in items:
+            if op is parser.LITERAL:
+                own = [chr(arg)]
+            elif op is parser.IN:
+                own = [chr(arg[0][1] if arg[0][0] is parser.LITERAL else arg[0][1][0])]
+            elif op is parser.BRANCH:
+                own = [t for b in arg[1] for t in walk(b)]
+            elif op is parser.SUBPATTERN:
+                own = walk(arg[3])
+            else:
+                assert op is parser.MAX_REPEAT
+                own = [t * (arg[0] or optional) for t in walk(arg[2])] if arg[0] or optional else [""]
+            texts = [t + x for t in texts for x in own]
+        return texts
+
+    return walk(parser.parse(pattern))
+
+
+def test_license_rules_run_on_every_alternative(spark):
+    made = [(label, p, t) for label, p, _, pattern in license_scan.rules() for t in shortest(pattern)]
+    made += [(label, p, t) for label, p, _, pattern in license_scan.rules() if p != 3 or "under" not in pattern
+             for t in shortest(pattern, 1)]
+    docs = odd(spark, [t for _, _, t in made])
+    hits = docs.select("doc_id", license_scan.detections(license_scan.folded(docs["text"])).alias("hits"))
+    found = {r["doc_id"]: {(d["label"], d["priority"]) for d in r["hits"]} for r in hits.collect()}
+    assert [m for i, m in enumerate(made) if m[:2] not in found[i]] == []
+
+
 def test_op4(spark, rows, texts):
     assert as_dict(QUERIES["op4_ngram_join"](spark, SF)) == brute.near_duplicates(rows)
     rng = random.Random(5)
