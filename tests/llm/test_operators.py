@@ -231,3 +231,20 @@ def test_op10(spark, rows, texts):
     assert all(g[6] > 0 for i, g in got.items() if len(texts) <= i < len(texts) + 30)
     assert all(g[8] for i, g in got.items() if i >= len(texts) + 30)
     assert quality_rules.judge(empty(spark)).collect() == []
+
+
+def test_quality_cuts_frequent_lines(spark):
+    """The text without frequent lines, and a line of many documents is frequent however large its host."""
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(25)).translate({48 + d: 97 + d for d in range(10)})
+    common = ["Subscribe to our\tnewsletter 7", "SUBSCRIBE to our newsletter 8 "]
+    made = [(k, f"{common[k % 2]}\n\n{own(k)} é\r\n{common[1]}", "big") for k in range(30)]
+    made += [(100 + k, own(100 + k), "big") for k in range(1970)]  # 30 documents are 1.5 % of the host
+    made += [(3000 + k, common[0], None) for k in range(25)] + [(None, None, None), (None, common[0], "alone"), (1, made[1][1], "big")]
+    docs = spark.createDataFrame(made, "doc_id long, text string, source string")
+    want = lambda most: sorted(
+        ((i, None if t is None else t if s == "alone" or s == "big" and not most else "\n".join(x for x in t.split("\n") if x not in common), s)
+         for i, t, s in made), key=repr)
+    for most_docs, cut in ((25, True), (200, False)):
+        got = quality_rules.judge(docs, most_docs=most_docs).collect()
+        assert sorted(((r["doc_id"], r["clean_text"]) for r in got), key=repr) == sorted(((i, t) for i, t, _ in want(cut)), key=repr)
+        assert all((r["lost_chars"] > 0) == (r["clean_text"] not in {t for _, t, _ in made}) for r in got)
