@@ -3,8 +3,9 @@
 Hosts are the nodes; an absolute link in a page's html is an edge from the
 page's host to the linked one, counted once per page; a sub-domain and its
 parent domain are linked both ways with the weight of one link. Trust flows
-forward by personalised PageRank from the hosts that the rules allow; distrust
-flows backward, over reversed edges, from the hosts that they block. A host
+forward by personalised PageRank from every host with a page that the rules
+allow, weighted by the share of such pages; distrust flows backward, over
+reversed edges, from every host with a page that they block, likewise. A host
 whose distrust is above ``threshold`` times the mean score and above its trust
 is blocked.
 
@@ -94,9 +95,9 @@ def host_verdicts(pages: DataFrame, rules=RULES, threshold: float = 1.0) -> Data
         F.avg((F.coalesce(verdict, F.lit("")) == "block").cast("double")).alias("refused")), "hosts")
     links = written(edges(pages), "edges")
     back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    seeds = lambda a, b: per_host.filter((F.col(a) > F.col(b)) & (F.col(a) >= 0.5)).select("host", F.lit(1.0).alias("weight"))
-    trust = page_rank(links, seeds("allowed", "refused")).withColumnRenamed("score", "trust")
-    distrust = page_rank(back, seeds("refused", "allowed")).withColumnRenamed("score", "distrust")
+    seeds = lambda share: per_host.filter(F.col(share) > 0).select("host", F.col(share).alias("weight"))
+    trust = page_rank(links, seeds("allowed")).withColumnRenamed("score", "trust")
+    distrust = page_rank(back, seeds("refused")).withColumnRenamed("score", "distrust")
     both = per_host.select("host").join(trust, "host", "left").join(distrust, "host", "left").fillna(0.0)
     mean = 1.0 / max(1, per_host.count())
     return both.withColumn("blocked", (F.col("distrust") > threshold * mean) & (F.col("distrust") > F.col("trust")))

@@ -197,6 +197,22 @@ def test_op8(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_every_host_with_ruled_pages_seeds(spark):
+    """A host seeds by its share of ruled pages, also below half and of both kinds."""
+    link = lambda h: f'<a href="http://{h}/">y</a>'
+    pages = [("http://mix.example.com/de/", None), *[("http://mix.example.com/x", None)] * 3,
+             ("http://half.example.com/de/", None), ("http://half.example.com/x", None),
+             ("http://farm.com/", link("mix.example.com")), ("http://mill.com/", link("half.example.com")),
+             ("http://good.org/fr/", link("fine.com")), *[("http://good.org/x", None)] * 4, ("http://fine.com/", None),
+             ("http://both.example.net/en/", link("seen.com")), ("http://both.example.net/x", None),
+             ("http://seen.com/", None), ("http://rest.com/", link("both.example.net"))]
+    docs = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    score = {r["host"]: (r["trust"], r["distrust"]) for r in url_filter.judge(docs).collect()}
+    assert score["mill.com"][1] > score["farm.com"][1] > 0 and score["rest.com"][1] > 0
+    assert score["fine.com"][0] > 0 and score["seen.com"][0] > 0
+    assert score["farm.com"][0] == score["fine.com"][1] == 0
+
+
 def test_op9(spark, rows, texts):
     assert as_dict(QUERIES["op9_suffix_dedup"](spark, SF)) == brute.repeats(rows)
     rng = random.Random(4)
