@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -199,16 +199,30 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32  # A-Z only
 
 
-def without(docs: DataFrame, gone: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose key is in ``gone``; rows that a bitmap of the gone keys clears are not shuffled."""
-    name = "_gone_key"
-    gone = written(gone.select(F.xxhash64(key).alias(name), F.col(key).alias("_gone")).distinct(), "gone")
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(gone, name))
+def _parted(docs: DataFrame, keys: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
+    """The rows of ``docs`` that a bitmap of the keys may have, the others, the keys, and when a row has a key."""
+    name = "_row_key"
+    keys = written(keys.select(F.xxhash64(*by).alias(name), *(F.col(k).alias(f"_key_{k}") for k in by)).distinct(), "keys")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(keys, name))
 
     @F.arrow_udf("boolean")
-    def maybe(keys: pa.Array) -> pa.Array:
-        return pa.array(in_bitmap(bitmap.value, keys.to_numpy()))
+    def maybe(values: pa.Array) -> pa.Array:
+        return pa.array(in_bitmap(bitmap.value, values.to_numpy()))
+
+    keyed = docs.withColumn(name, F.xxhash64(*by))
+    same = F.lit(True)
+    for k in by:
+        same = same & keyed[k].eqNullSafe(F.col(f"_key_{k}"))
+    return keyed.filter(maybe(F.col(name))), keyed.filter(~maybe(F.col(name))).drop(name), keys.drop(name), same
+
+
+def without(docs: DataFrame, gone: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``docs`` without the rows whose key is in ``gone``; rows that a bitmap of the gone keys clears are not shuffled."""
+    hit, rest, keys, same = _parted(docs, gone, by)
+    return rest.unionByName(hit.join(keys, same, "left_anti").drop("_row_key"))
+
 
-    keyed = docs.withColumn(name, F.xxhash64(key))
-    hit = keyed.filter(maybe(F.col(name))).join(gone.select("_gone"), keyed[key].eqNullSafe(F.col("_gone")), "left_anti")
-    return keyed.filter(~maybe(F.col(name))).unionByName(hit).drop(name)
+def within(docs: DataFrame, wanted: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The rows of ``docs`` whose key is in ``wanted``; only rows that a bitmap of the keys may have are shuffled."""
+    hit, _, keys, same = _parted(docs, wanted, by)
+    return hit.join(keys, same, "left_semi").drop("_row_key")

@@ -66,3 +66,24 @@ def test_odd_documents(spark, tmp_path, texts):
         table(spark, SF, name).limit(0 if name == "labels" else 5).write.parquet(f"{tmp_path}/{name}.parquet")
     got = sorted(r["doc_id"] for r in P.run(spark, str(tmp_path)).collect())
     assert got == ([0, 1, 2, 4] if texts else [])
+
+
+def test_repeated_rows_and_null_ids(spark):
+    """One row of each group stays, whatever the ids; the repeats stage then leaves its text whole."""
+    a, b, c, d = (" ".join(f"{w}{k}" for k in range(90)) for w in "abcd")
+    made = [(1, a, "x"), (1, a, "x"), (1, a, "w"), (None, b, "x"), (None, b, "x"), (0, d.upper(), "x"), (2, c, "x"), (2, d, "x"),
+            (None, d, "x"), (None, None, "x"), (None, None, "x"), (3, " ", "x"), (3, " ", "x")]
+    docs = spark.createDataFrame([(i, t, None, s, None if t is None else len(t)) for i, t, s in made],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    near = written(P.drop_near_duplicates(spark, docs, SF), "test-near")
+    want = [(1, a, "w"), (None, b, "x"), (0, d.upper(), "x"), (2, c, "x"), *made[-4:]]
+    found = lambda df: sorted(map(tuple, df.select("doc_id", "text", "source").collect()), key=repr)
+    assert near.columns == docs.columns and found(near) == sorted(want, key=repr)
+    assert found(P.cut_repeats(spark, near, SF)) == sorted(want, key=repr)
+
+
+def test_doubled_input(spark):
+    docs = table(spark, SF, "documents")
+    once, twice = (rows(written(P.drop_near_duplicates(spark, df, SF), "test-twice")) for df in (docs, docs.union(docs)))
+    worded = lambda found: sorted(r for r in found if (r[1] or "").strip())
+    assert worded(once) == worded(twice)
