@@ -46,11 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
     """``df`` written as a Parquet table in the shared folder and read again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    df.write.options(**options).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,8 +6,8 @@ from functools import wraps
 
 import public_tokenizers
 
-from playgrid.llm import (decontaminate, license_scan, ngram_join, quality_rules, sentencepiece_bpe, suffix_dedup, token_counts,
-                          token_store, toxicity, url_filter)
+from playgrid.llm import (alignment, decontaminate, license_scan, merkle, ngram_join, packing, quality_rules, sentencepiece_bpe,
+                          suffix_dedup, token_counts, token_store, toxicity, url_filter)
 from playgrid.llm.common import importable, table
 
 QUERIES = {}
@@ -74,3 +74,19 @@ def op4_ngram_join(spark, sf_dir):
 @query
 def op9_suffix_dedup(spark, sf_dir):
     return suffix_dedup.dedup_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digest=True)
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    return alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
