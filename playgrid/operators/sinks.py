@@ -1,27 +1,16 @@
-"""Materialisation operators (K-01 .. K-13) on plain Parquet.
-
-No table format is available, so incremental strategies are expressed as
-DataFrame algebra over the current table and the new rows, and the result is
-written to a new version folder (``<base>/v=<n>``) that readers switch to;
-nothing is ever overwritten while it is being read. Every operator is
-idempotent: running it twice with the same input gives the same table.
-"""
+"""Full builds (K-01, K-02, K-08, K-10): whole tables and views. Loads into an existing table are in ``loads``."""
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-
-from playgrid.operators.rel import latest_version
+from pyspark.sql import DataFrame
 
 
 # ------------------------------------------------------------------ writers
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
               compression: str = "snappy") -> str:
-    """K-01 / K-08 / K-10 / K-12: full rebuild, optionally partitioned (e.g. by day or month)
+    """K-01 / K-08 / K-10: full rebuild, optionally partitioned (e.g. by day or month)
     and sorted inside each file by the sort key.
 
     Rows are clustered by the partition columns with a ``rebalance`` hint:
@@ -44,81 +33,3 @@ def view(df: DataFrame, name: str) -> DataFrame:
     """K-02: a named view (the plan is inlined wherever it is queried)."""
     df.createOrReplaceTempView(name)
     return df
-
-
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(base)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def current(spark: SparkSession, base: str) -> DataFrame | None:
-    """Latest committed version of a versioned table, or None when it does not exist yet."""
-    v = _versions(spark, base)
-    return spark.read.parquet(os.path.join(base, f"v={v[-1]}")) if v else None
-
-
-def commit(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as the next version of ``base`` (readers switch once _SUCCESS exists)."""
-    v = _versions(df.sparkSession, base)
-    path = os.path.join(base, f"v={(v[-1] + 1) if v else 0}")
-    overwrite(df, path, partition_by)
-    return path
-
-
-# --------------------------------------------------------- merge strategies
-def delete_insert(target: DataFrame | None, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """K-04 (+ K-05): replace the rows of ``target`` whose key appears in ``source``.
-
-    New columns of ``source`` are appended to the table (missing ones read
-    as NULL in old rows), as an incremental model with appended columns does.
-    """
-    if target is None:
-        return source
-    keep = target.join(source.select(*key).distinct(), list(key), "left_anti")
-    return keep.unionByName(source, allowMissingColumns=True)
-
-
-def window_since(target: DataFrame | None, date_col: str, days: int, as_of=None):
-    """K-04 window start: ``max(date) - days`` of the current table (``as_of - days`` when empty)."""
-    if target is None:
-        return None if as_of is None else F.date_sub(F.lit(as_of).cast("date"), days)
-    m = target.agg(F.max(date_col)).scalar()
-    if as_of is None:
-        return F.date_sub(m, days)
-    return F.date_sub(F.coalesce(m, F.lit(as_of).cast("date")), days)
-
-
-def upsert_latest(target: DataFrame | None, rows: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """K-06 / K-07: replace-on-key, last version wins (re-reads of a trailing window are harmless)."""
-    u = rows if target is None else target.unionByName(rows, allowMissingColumns=True)
-    return latest_version(u, list(key), list(version))
-
-
-def replace_range(target: DataFrame | None, recomputed: DataFrame, date_col: str, d_from: str, d_to: str) -> DataFrame:
-    """K-09: delete the closed date range and insert its recomputation."""
-    inside = F.col(date_col).between(F.lit(d_from).cast("date"), F.lit(d_to).cast("date"))
-    new = recomputed.filter(inside)
-    if target is None:
-        return new
-    return target.filter(~inside).unionByName(new, allowMissingColumns=True)
-
-
-def insert_if_absent(ledger: DataFrame | None, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """K-11: the rows whose key is not yet in the ledger (what is appended)."""
-    fresh = rows.dropDuplicates(list(key))
-    return fresh if ledger is None else fresh.join(ledger.select(*key), list(key), "left_anti")
-
-
-def with_row_count(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """K-13: row count of a load, observed while the write runs (no second pass)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

@@ -19,6 +19,13 @@ FINAL = {
     "currency_flows_daily": ("SELECT * FROM q_flows", []),
     "currency_balance_daily": ("SELECT * FROM q_balance", ["avg_balance", "median_balance"]),
     "balance_backfill": ("SELECT * FROM q_balance_backfill", ["avg_balance", "median_balance"]),
+    "economy_incremental": ("SELECT * FROM q_fct_economy", []),
+    "balance_incremental": ("SELECT * FROM q_balance WHERE event_date >= (SELECT max(event_date) - 5 FROM q_final)",
+                            ["avg_balance", "median_balance"]),
+    "conversions_upsert": ("SELECT * FROM q_conversions", []),
+    "rates_upsert": ("SELECT * FROM q_rates_etl", ["rate"]),
+    "level_events_by_month": ("SELECT *, CAST(strftime(event_date, '%Y%m') AS INTEGER) AS yyyymm FROM q_levels",
+                              ["avg_rounds", "avg_hp_percent", "player_power"]),
     "revenue_daily": ("SELECT * FROM q_revenue_daily", ["revenue", "avg_transaction", "arpu", "arppu"]),
     "cohort_daily": ("SELECT * FROM q_cohort_daily",
                      ["retention_rate", "ad_revenue", "iap_revenue", "total_revenue", "cum_ad_revenue",

@@ -52,8 +52,7 @@ def fct_revenue(stg: DataFrame, rates_usd: DataFrame, campaign: DataFrame,
 def fct_economy(stg: DataFrame, campaign: DataFrame) -> DataFrame:
     """M-11: economy flows per (event, currency) with the install campaign.
 
-    Full build; the incremental 2-day re-load is ``sinks.delete_insert`` over
-    this frame restricted to ``event_date >= max(target) - 2``.
+    ``loads.load_trailing`` re-loads the last days of it from the events of those days.
     """
     e = int_economy(stg)
     return e.join(campaign.select("player_id", "campaign_name"), "player_id", "left").select(
@@ -105,7 +104,7 @@ def balance_backfill(final_events: DataFrame, d_from: str, d_to: str) -> DataFra
     """M-14: the balance mart recomputed for one closed date range (idempotent re-load).
 
     The range predicate sits on ``event_date`` itself (the partition column),
-    so partition pruning applies; see ``sinks.replace_range`` for the write.
+    so partition pruning applies; ``loads.replace_range`` writes it.
     """
     ev = final_events.filter(F.col("event_date").between(F.lit(d_from).cast("date"), F.lit(d_to).cast("date")))
     return currency_balance_daily(balance_snapshots(ev))

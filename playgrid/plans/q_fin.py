@@ -24,12 +24,6 @@ def q_balance(spark, sf):
     return finance.currency_balance_daily(finance.balance_snapshots(Ctx(spark, sf, single=True).final()))
 
 
-@query("balance_backfill")
-def q_balance_backfill(spark, sf):
-    # one calendar month re-load (the backfill's unit of work)
-    return finance.balance_backfill(Ctx(spark, sf, single=True).final(), "2024-01-01", "2024-01-31")
-
-
 @query("revenue_daily")
 def q_revenue_daily(spark, sf):
     c = Ctx(spark, sf)
