@@ -138,6 +138,54 @@ def first_rate(rates: DataFrame, key: str = "currency", date: str = "business_da
     return rates.groupBy(key).agg(F.min_by(rate_col, date).alias("rate0"))
 
 
+RADIX_BITS = 12
+
+
+def grouped_median(counts: DataFrame, group: Sequence[str], value: str, weight: str, out: str = "median") -> DataFrame:
+    """Exact median of an integer column per group, from a table of (group, value, weight = rows with that value).
+
+    Rank selection by digits: each pass counts the rows of every group by the next ``RADIX_BITS`` bits of the value,
+    among the values that share the digits found so far, and takes the digit that holds the middle rank. A group's
+    state is at most 2^12 counts in each of two ranks (the two middle ones of an even number), whatever the group's
+    rows or distinct values. As many passes are made as the differing bits of all values need (two for values
+    below 2^24); each reads ``counts`` once, so it should be a written table.
+    """
+    low = F.lit(-(1 << 63)).cast("bigint")
+    unsigned = F.col(value).cast("bigint").bitwiseXOR(low)  # unsigned bits in the values' order
+    ends = counts.agg(F.min(value), F.max(value)).first()
+    lo, hi = (int(x or 0) + (1 << 63) for x in ends)
+    passes = max(1, -(-(lo ^ hi).bit_length() // RADIX_BITS))
+    rows = counts.select(*group, unsigned.alias("_u"), F.col(weight).alias("_w"))
+    total = rows.groupBy(*group).agg(F.sum("_w").alias("_n"))
+    ranks = F.array(F.expr("(_n - 1) div 2"), F.expr("_n div 2"))
+    state = total.select(*(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)), F.posexplode(ranks).alias("_which", "_rank"))
+    keys = [f"_g{i}" for i in range(len(group))]
+    same = F.lit(True)
+    for k, g in zip(keys, group):
+        same = same & F.col(g).eqNullSafe(F.col(k))
+    # what all values share, then a digit more in each pass
+    state = state.withColumn("_prefix", F.lit(_signed(lo >> passes * RADIX_BITS)).cast("bigint"))
+    for left in reversed(range(passes)):
+        shift = left * RADIX_BITS
+        above = F.shiftrightunsigned("_u", shift + RADIX_BITS) if shift + RADIX_BITS < 64 else F.lit(0).cast("bigint")
+        digit = F.shiftrightunsigned("_u", shift).bitwiseAND(F.lit((1 << RADIX_BITS) - 1))
+        held = rows.join(state, same & (above == F.col("_prefix")))
+        per = held.groupBy(*keys, "_which", "_rank", "_prefix", digit.alias("_digit")).agg(F.sum("_w").alias("_w"))
+        upto = F.sum("_w").over(Window.partitionBy(*keys, "_which").orderBy("_digit")
+                                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found = per.withColumn("_before", upto - F.col("_w")).filter(
+            (F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_w")))
+        state = found.select(*keys, "_which", (F.col("_rank") - F.col("_before")).alias("_rank"),
+                             F.shiftleft("_prefix", RADIX_BITS).bitwiseOR(F.col("_digit")).alias("_prefix"))
+    middle = F.col("_prefix").bitwiseXOR(low).cast("double")
+    return state.groupBy(*(F.col(k).alias(g) for k, g in zip(keys, group))).agg(
+        (F.sum(middle) / 2).alias(out))
+
+
+def _signed(bits: int) -> int:
+    return bits - (1 << 64) if bits >= 1 << 63 else bits
+
+
 def segment_all(values: Column, include: Column | None = None) -> Column:
     """['ALL', value] (or ['ALL'] when ``include`` is false) for row expansion."""
     if include is None:

@@ -14,6 +14,8 @@ FINAL = {
     "dim_players": ("SELECT * FROM q_dim_players", ["ltv"]),
     "daily_active_users": ("SELECT * FROM q_dau", ["revenue", "arpdau"]),
     "activity_windows": ("SELECT * FROM q_activity_windows", []),
+    "activity_approx": ("SELECT *, true AS dau_within_error, true AS wau_within_error, true AS mau_within_error "
+                        "FROM q_activity_windows", []),
     "fct_revenue": ("SELECT * FROM q_fct_revenue", ["revenue_amount", "revenue_amount_usd"]),
     "fct_economy": ("SELECT * FROM q_fct_economy", []),
     "currency_flows_daily": ("SELECT * FROM q_flows", []),
@@ -74,6 +76,7 @@ FINAL = {
     "currency_rates": ("SELECT * FROM q_rates_etl", ["rate"]),
     "player_lookup": ("SELECT * FROM q_player_lookup", []),
     "new_files": ("SELECT * FROM q_new_files", []),
+    "mart_tests": ("SELECT * FROM q_mart_tests", []),
     "dq_report": ("SELECT * FROM q_dq", []),
     "big_wins_round": ("SELECT * FROM q_big_wins_round",
                        ["amount", "amount_usd", "amount_eur", "rate_usd", "rate_eur_usd", "threshold"]),

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playgrid.functions.cols import int_or_null, money_sum, safe_div
-from playgrid.operators.rel import asof_lookup, first_rate
+from playgrid.operators.rel import asof_lookup, first_rate, grouped_median
 from playgrid.plans.staging import int_economy, int_revenue
+from playgrid.session import materialize
 
 
 def fct_revenue(stg: DataFrame, rates_usd: DataFrame, campaign: DataFrame,
@@ -88,16 +89,25 @@ def balance_snapshots(final_events: DataFrame) -> DataFrame:
 def currency_balance_daily(snapshots: DataFrame) -> DataFrame:
     """M-13: players, average / median / min / max balance per day and currency.
 
-    ``median`` is Spark's exact percentile, whose buffer is a map of distinct
-    values to counts (combined map-side), so memory per group is bounded by
-    the number of distinct balances, not by rows.
+    Snapshots are counted by player and balance first; all measures come of that written table. The median is
+    exact and found by rank selection (``grouped_median``), without a buffer of a group's values.
     """
-    return snapshots.groupBy("event_date", "currency").agg(
-        F.count_distinct("player_id").alias("players"),
-        F.round(F.avg("balance"), 2).alias("avg_balance"),
-        F.median("balance").alias("median_balance"),
-        F.min("balance").alias("min_balance"),
-        F.max("balance").alias("max_balance"))
+    key = ["event_date", "currency"]
+    seen = materialize(snapshots.groupBy(*key, "player_id", "balance").agg(F.count(F.lit(1)).alias("n")), "balances")
+    exact = F.col("balance").cast("decimal(38,0)")
+    per = seen.groupBy(*key, "player_id").agg(
+        F.sum("n").alias("n"), F.sum(exact * F.col("n")).alias("total"),
+        F.min("balance").alias("lo"), F.max("balance").alias("hi"))
+    out = per.groupBy(*key).agg(
+        F.count("player_id").alias("players"),
+        F.round(F.sum("total").cast("double") / F.sum("n"), 2).alias("avg_balance"),
+        F.min("lo").alias("min_balance"), F.max("hi").alias("max_balance"))
+    counts = seen.groupBy(*key, "balance").agg(F.sum("n").alias("n"))
+    med = grouped_median(counts, key, "balance", "n", "median_balance")
+    med = med.withColumnsRenamed({k: f"_{k}" for k in key})
+    same = [out[k].eqNullSafe(F.col(f"_{k}")) for k in key]
+    return out.join(med, same[0] & same[1]).select(
+        *key, "players", "avg_balance", "median_balance", "min_balance", "max_balance")
 
 
 def balance_backfill(final_events: DataFrame, d_from: str, d_to: str) -> DataFrame:

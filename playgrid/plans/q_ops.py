@@ -1,8 +1,12 @@
 """Query registrations: big wins, player lookup, file ledger, quality report (M-43 .. M-47)."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.plans import alerts, quality
+from playgrid.plans import alerts, bi, finance, quality
+from playgrid.plans.q_clans import ClanCtx
 from playgrid.plans.registry import Ctx, query
 from playgrid.plans.staging import EVENT_KEY
 
@@ -39,3 +43,16 @@ def q_new_files(spark, sf):
 def q_dq_report(spark, sf):
     c = Ctx(spark, sf)
     return quality.dq_report(c.inp("events"), c.stg(), EVENT_KEY, c.as_of())
+
+
+@query("mart_tests")
+def q_mart_tests(spark, sf):
+    """The declared column tests of every mart, over marts that share their intermediate tables."""
+    c = ClanCtx(spark, sf)
+    marts = {
+        "dim_players": c.dim, "daily_active_users": c.dau, "fct_revenue": c.rev, "dim_clans": c.clans,
+        "revenue_daily": lambda: finance.revenue_daily(c.rev(), c.iap(), c.dau()),
+        "clan_daily": c.daily, "clan_members": c.members, "clan_raid_fights": c.fights, "clan_raid_tiers": c.tiers,
+        "fct_level_events": lambda: bi.fct_level_events(c.final(), c.campaign())}
+    return reduce(DataFrame.unionByName, [
+        quality.mart_tests(name, marts[name](), *declared) for name, declared in quality.MART_TESTS.items()])
