@@ -78,6 +78,11 @@ FINAL = {
     "new_files": ("SELECT * FROM q_new_files", []),
     "mart_tests": ("SELECT * FROM q_mart_tests", []),
     "dq_report": ("SELECT * FROM q_dq", []),
+    "events_stream": ("SELECT * FROM q_final", []),
+    "fights_stream": ("SELECT event_id, event_at, player_id, clan_id, boss_tier, is_win FROM q_clan_fights WHERE NOT is_duplicate", []),
+    "file_ledger_stream": ("SELECT * FROM q_new_files", []),
+    "big_wins_stream": ("SELECT * FROM q_big_wins_stream",
+                        ["amount", "amount_usd", "amount_eur", "rate_usd", "rate_eur_usd", "threshold"]),
     "big_wins_round": ("SELECT * FROM q_big_wins_round",
                        ["amount", "amount_usd", "amount_eur", "rate_usd", "rate_eur_usd", "threshold"]),
     "big_wins_session": ("SELECT * FROM q_big_wins_session",

@@ -57,11 +57,12 @@ def _dedup_list(expr: str) -> str:
     return f"list_filter({expr}, lambda x, i: list_position({expr}, x) = i)"
 
 
-def _big_wins(grp: str, mode: str) -> str:
+def _big_wins(grp: str, mode: str, all_time: bool = False) -> str:
+    """``all_time``: every key, all rates and an empty ledger, as a stream from the first event on has it."""
     key = f"source_service, provider_key, user_id, {grp}"
     return f"""
 WITH w AS (SELECT * FROM q_wins WHERE event_type = 'win'),
-since AS (SELECT max(created_at) - INTERVAL 90 DAY AS t FROM q_wins),
+since AS (SELECT {"max(TIMESTAMP '0001-01-01')" if all_time else "max(created_at) - INTERVAL 90 DAY"} AS t FROM q_wins),
 prov AS (SELECT slug, max(title) AS provider_title FROM (
            SELECT {_lst([p[0] for p in _PROVIDERS])}[CAST(s_suppkey % 12 AS INTEGER) + 1] AS slug,
                   CASE WHEN s_suppkey % 5 = 0 THEN NULL
@@ -100,7 +101,7 @@ grp AS (
   FROM per_round r JOIN touched t USING (source_service, provider_key, user_id, {grp})
   GROUP BY ALL),
 g AS (SELECT *, concat_ws('|', source_service, provider_key, user_id, {grp}, currency) AS gid FROM grp),
-fx_since AS (SELECT min(win_at) - INTERVAL 14 DAY AS t FROM g),
+fx_since AS (SELECT {"max(TIMESTAMP '0001-01-01')" if all_time else "min(win_at) - INTERVAL 14 DAY"} AS t FROM g),
 f AS (SELECT * FROM q_fx WHERE currency_to IN ('USD', 'EUR')
         AND currency_from IN (SELECT currency FROM g UNION SELECT 'EUR')),
 in_win AS (SELECT * FROM f WHERE effective_at >= (SELECT t FROM fx_since)),
@@ -140,7 +141,7 @@ sel AS (
     AND is_test = 0),
 ledger AS (
   SELECT DISTINCT concat_ws('|', source_service, provider_key, user_id, {grp}, currency) AS alert_key
-  FROM q_wins WHERE event_type = 'win' AND {grp} <> '' AND suffix(round_id, '7'))
+  FROM q_wins WHERE {"false" if all_time else "true"} AND event_type = 'win' AND {grp} <> '' AND suffix(round_id, '7'))
 SELECT gid AS alert_key, win_at, coalesce(provider_title, {_rcol('rule', 1)}) AS provider,
        coalesce(provider_slug, provider_key) AS provider_slug,
        array_to_string({_dedup_list('game_list')}, ', ') AS game,
@@ -160,3 +161,4 @@ FROM sel WHERE gid NOT IN (SELECT alert_key FROM ledger)
 
 cte("q_big_wins_round", _big_wins("round_id", "round"))
 cte("q_big_wins_session", _big_wins("session_id", "session"))
+cte("q_big_wins_stream", _big_wins("session_id", "session", all_time=True))
