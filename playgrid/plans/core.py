@@ -14,8 +14,9 @@ def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
     """M-08: one row per player - activity span, last/first known attributes, LTV.
 
     Reads only the JSON paths it needs from the deduplicated log, aggregates
-    per player (hash aggregate, map-side partial), then joins the campaign
-    bridge on player_id.
+    per player and session and then per player (partial sums before each
+    shuffle; the active days are a set, at most one entry for each calendar
+    day), then joins the campaign bridge on player_id.
     """
     ev = final_events.select(
         "player_id", "event_at", F.to_date("event_at").alias("event_date"),
@@ -33,7 +34,7 @@ def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
         F.max("event_at").alias("last_seen_at"),
         F.min("event_date").alias("first_seen_date"),
         F.max("event_date").alias("last_seen_date"),
-        F.count_distinct("event_date").alias("active_days"),
+        F.size(F.collect_set("event_date")).alias("active_days"),
         last_known("country", order).alias("country"),
         last_known("app_version", order).alias("app_version"),
         last_known("ab_version", order).alias("ab_version"),
@@ -63,21 +64,23 @@ def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
 def daily_active_users(stg: DataFrame, dim: DataFrame) -> DataFrame:
     """M-09: DAU, new / returning users, sessions, raw-unit revenue and ARPDAU per day.
 
-    Events are first reduced to (day, player, session) rows, so the join with
-    the player dimension and the distinct counts work on a much smaller set.
+    Events are first reduced to (day, player, session) rows; players are then
+    counted from (day, player) rows and sessions from (day, session) rows, so no
+    distinct aggregate copies the rows.
     """
     pds = stg.groupBy("event_date", "player_id", "session_id").agg(
         money_sum(F.when(F.col("event_name") == "revenue", F.col("revenue_amount"))).alias("rev"))
-    j = pds.join(dim.select("player_id", "first_seen_date"), "player_id")
-    rev = money_sum("rev")
-    dau = F.count_distinct("player_id")
-    return j.groupBy("event_date").agg(
-        dau.alias("dau"),
-        F.count_distinct(F.when(F.col("event_date") == F.col("first_seen_date"), F.col("player_id"))).alias("new_users"),
-        F.count_distinct(F.when(F.col("event_date") > F.col("first_seen_date"), F.col("player_id"))).alias("returning_users"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.round(rev, 4).alias("revenue"),
-        F.round(safe_div(rev, dau), 4).alias("arpdau"))
+    sessions = pds.filter(F.col("session_id").isNotNull()).join(dim.select("player_id"), "player_id", "left_semi").select("event_date", "session_id").distinct().groupBy("event_date").agg(F.count(F.lit(1)).alias("sessions"))
+    players = pds.groupBy("event_date", "player_id").agg(money_sum("rev").alias("rev")).join(
+        dim.select("player_id", "first_seen_date"), "player_id")
+    daily = players.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("dau"),
+        F.count_if(F.col("event_date") == F.col("first_seen_date")).alias("new_users"),
+        F.count_if(F.col("event_date") > F.col("first_seen_date")).alias("returning_users"),
+        money_sum("rev").alias("rev"))
+    return daily.join(sessions, "event_date", "left").select(
+        "event_date", "dau", "new_users", "returning_users", F.coalesce("sessions", F.lit(0)).alias("sessions"),
+        F.round("rev", 4).alias("revenue"), F.round(safe_div("rev", "dau"), 4).alias("arpdau"))
 
 
 def activity_windows(activity: DataFrame, days: int = 30, week: int = 7) -> DataFrame:

@@ -28,17 +28,17 @@ def q_rates_usd(spark, sf):
 
 @query("player_campaign")
 def q_player_campaign(spark, sf):
-    return Ctx(spark, sf, single=True).campaign()
+    return Ctx(spark, sf, single=True).build_campaign()
 
 
 @query("iap_usd")
 def q_iap_usd(spark, sf):
-    return Ctx(spark, sf, single=True).iap()
+    return Ctx(spark, sf, single=True).build_iap()
 
 
 @query("dim_players")
 def q_dim_players(spark, sf):
-    return Ctx(spark, sf, single=True).dim()
+    return Ctx(spark, sf, single=True).build_dim()
 
 
 @query("daily_active_users")

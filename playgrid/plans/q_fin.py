@@ -6,7 +6,7 @@ from playgrid.plans.registry import Ctx, query
 
 @query("fct_revenue")
 def q_fct_revenue(spark, sf):
-    return Ctx(spark, sf).rev()
+    return Ctx(spark, sf).build_rev()
 
 
 @query("fct_economy")
@@ -44,7 +44,7 @@ def q_cohort_daily_country(spark, sf):
 
 @query("cohort_daily_campaign")
 def q_cohort_daily_campaign(spark, sf):
-    return Ctx(spark, sf).campaign_grid()
+    return Ctx(spark, sf).build_campaign_grid()
 
 
 @query("cohort_pu")

@@ -50,7 +50,7 @@ def q_mart_tests(spark, sf):
     """The declared column tests of every mart, over marts that share their intermediate tables."""
     c = ClanCtx(spark, sf)
     marts = {
-        "dim_players": c.dim, "daily_active_users": c.dau, "fct_revenue": c.rev, "dim_clans": c.clans,
+        "dim_players": c.dim, "daily_active_users": c.dau, "fct_revenue": c.rev, "dim_clans": c.build_clans,
         "revenue_daily": lambda: finance.revenue_daily(c.rev(), c.iap(), c.dau()),
         "clan_daily": c.daily, "clan_members": c.members, "clan_raid_fights": c.fights, "clan_raid_tiers": c.tiers,
         "fct_level_events": lambda: bi.fct_level_events(c.final(), c.campaign())}

@@ -1,10 +1,12 @@
 """Named queries: (spark, sf_dir) -> DataFrame, one per pipeline of the inventory.
 
 Each callable derives the reference-shaped inputs from the driver tables of
-``sf_dir`` and runs the pipeline on all of it. Shared parents are expressed as
-plain DataFrame composition; Catalyst dedups the common sub-plans only through
-exchange reuse, so what several parts of a plan read is written once per query (``Ctx.mat``);
-a lone reader of the event log streams through it.
+``sf_dir`` and runs the pipeline on all of it. A mart that others read is a table,
+built when first read and shared by the queries of a session (``Ctx.mat``); the
+mart that a query returns is always computed by that query. The deduplicated
+event log is such a table, laid out by day and sorted by event name, so readers
+skip days, names and columns; a lone reader of a log that nobody has built yet
+streams through it, with its filters below the deduplication.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ class Ctx:
 
     def __init__(self, spark: SparkSession, sf_dir: str, single: bool = False):
         """``single``: the query reads the event log once, so it streams through
-        without materializing the deduplicated log first."""
+        without building the deduplicated log first."""
         self.spark, self.sf_dir, self.single = spark, sf_dir, single
         self._m: dict[str, DataFrame] = {}
 
@@ -44,16 +46,10 @@ class Ctx:
             self._m[name] = fn()
         return self._m[name]
 
-    def mat(self, name: str, fn):
-        """Like ``get`` but the result is materialized as a table (see ``session.materialize``).
-
-        Used for intermediates that several parts of one plan read (the
-        deduplicated event log, dimensions, membership periods, ...), so the
-        plan references a table instead of inlining the whole upstream tree
-        once per use.
-        """
-        from playgrid.session import materialize
-        return self.get(name, lambda: materialize(fn(), name))
+    def mat(self, name: str, fn, **layout):
+        """Like ``get``, but a table that the queries of a session share (see ``session.build_once``)."""
+        from playgrid.session import build_once
+        return self.get(name, lambda: build_once(self.spark, self.sf_dir, name, fn, **layout))
 
     # inputs
     def inp(self, name: str) -> DataFrame:
@@ -66,27 +62,34 @@ class Ctx:
 
     # staging / intermediate
     def final(self):
-        """The deduplicated event log (FINAL read), materialized once per query that reads it more than once."""
+        """The deduplicated event log (FINAL read), by day and event name."""
         from playgrid.plans import staging as S
+        build = lambda: S.events_final(self.inp("events"))
         if self.single:
-            return self.get("final", lambda: S.events_final(self.inp("events")))
-        return self.mat("final", lambda: S.events_final(self.inp("events")))
+            return self.get("final", build)
+        return self.mat("final", build, partition_by=["event_date"], sort_by=["name"])
 
     def stg(self):
         from playgrid.plans import staging as S
         return self.get("stg", lambda: S.stg_events(self.final()))
 
-    def campaign(self):
+    def build_campaign(self):
         from playgrid.plans import staging as S
-        return self.mat("campaign", lambda: S.player_campaign(self.inp("profiles"), self.inp("accounts")))
+        return S.player_campaign(self.inp("profiles"), self.inp("accounts"))
+
+    def campaign(self):
+        return self.mat("campaign", self.build_campaign)
 
     def rates_usd(self):
         from playgrid.plans import staging as S
         return self.get("rates_usd", lambda: S.rates_usd(self.inp("rates")))
 
-    def iap(self):
+    def build_iap(self):
         from playgrid.plans import staging as S
-        return self.mat("iap", lambda: S.iap_usd(self.final(), self.inp("transactions"), self.rates_usd()))
+        return S.iap_usd(self.final(), self.inp("transactions"), self.rates_usd())
+
+    def iap(self):
+        return self.mat("iap", self.build_iap)
 
     def as_of(self):
         """'Today' for the marts: the day after the last event day (a scalar subquery)."""
@@ -95,10 +98,12 @@ class Ctx:
         return self.get("as_of", lambda: F.date_add(
             read(self.spark, self.sf_dir, "events").agg(F.max(F.to_date("ts"))).scalar(), 1))
 
-    def rev(self):
+    def build_rev(self):
         from playgrid.plans import finance
-        return self.mat("rev", lambda: finance.fct_revenue(self.stg(), self.rates_usd(), self.campaign(),
-                                                           self.inp("backfill"), self.dim()))
+        return finance.fct_revenue(self.stg(), self.rates_usd(), self.campaign(), self.inp("backfill"), self.dim())
+
+    def rev(self):
+        return self.mat("rev", self.build_rev)
 
     def store(self):
         from playgrid.plans import staging as S
@@ -112,14 +117,19 @@ class Ctx:
         from playgrid.plans import finance
         return self.get("econ", lambda: finance.fct_economy(self.stg(), self.campaign()))
 
-    def campaign_grid(self):
+    def build_campaign_grid(self):
         from playgrid.plans import cohorts
-        return self.mat("cgrid", lambda: cohorts.cohort_daily_campaign(self.dim(), self.rev(), self.iap(),
-                                                                       self.as_of()))
+        return cohorts.cohort_daily_campaign(self.dim(), self.rev(), self.iap(), self.as_of())
 
-    def dim(self):
+    def campaign_grid(self):
+        return self.mat("cgrid", self.build_campaign_grid)
+
+    def build_dim(self):
         from playgrid.plans import core
-        return self.mat("dim", lambda: core.dim_players(self.final(), self.campaign()))
+        return core.dim_players(self.final(), self.campaign())
+
+    def dim(self):
+        return self.mat("dim", self.build_dim)
 
 
 def stable(df: DataFrame, digits: int = 9) -> DataFrame:

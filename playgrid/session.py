@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on: UTC wall clock (all reference timestamps are
 # UTC), ANSI stays on (safe casts are explicit try_* calls), AQE for runtime
@@ -18,8 +22,6 @@ SESSION_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # broadcast only below a fixed, small bound; anything bigger is shuffled
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 
@@ -60,19 +62,46 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> DataFrame:
     """Write an intermediate mart as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing
     the whole upstream plan) and gives downstream plans a real table with
-    column pruning and filter pushdown. The folder comes from
+    column pruning, partition pruning and filter pushdown. The folder comes from
     ``spark.checkpoint.dir`` (set by the cluster); a scratch folder is used
     only when it is unset, as in local tests.
     """
-    import uuid
+    return df.sparkSession.read.parquet(_write(df, name, partition_by, sort_by))
 
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/marts/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+
+def _write(df: DataFrame, name: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> str:
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/marts/{name}-{uuid.uuid4().hex[:12]}"
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    if sort_by:
+        out = out.sortWithinPartitions(*partition_by, *sort_by)
+    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return path
+
+
+_BUILT: dict[tuple, str] = {}
+
+
+def build_once(spark: SparkSession, inputs: str, name: str, build: Callable[[], DataFrame], **layout) -> DataFrame:
+    """A table that marts share, built when first read and then read again by later queries of the session.
+
+    ``inputs`` is the folder of the tables that it is built from: when a file in it changes, it is built anew.
+    """
+    key = (spark.sparkContext.applicationId, checkpoint_dir(spark), inputs, _fingerprint(spark, inputs), name)
+    if key in _BUILT:
+        try:
+            return spark.read.parquet(_BUILT[key])
+        except AnalysisException:  # the folder was cleared meanwhile
+            pass
+    _BUILT[key] = _write(build(), name, **layout)
+    return spark.read.parquet(_BUILT[key])
+
+
+def _fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the folder's files in one number (the files are listed, not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return tuple(files.agg(F.count("*"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first())
