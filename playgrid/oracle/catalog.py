@@ -40,7 +40,7 @@ FINAL = {
                                "cum_iap_revenue", "cum_total_revenue", "arpu_cum"]),
     "cohort_pu": ("SELECT * FROM q_cohort_pu",
                   ["iap_usd_d0", "iap_usd_d1", "iap_usd_d3", "iap_usd_d7"]),
-    "cohort_pu_daily": ("SELECT * FROM q_cohort_pu_daily",
+    "cohort_pu_daily": ("SELECT * EXCLUDE (before) FROM q_cohort_pu_daily",
                         ["pu_rate_cum", "iap_usd", "iap_usd_cum", "iap_arpu_cum"]),
     "forecast_input": ("SELECT * FROM q_forecast_input", ["cum_ad_arpu", "cum_arpu"]),
     "ad_placement_version": ("SELECT * FROM q_ad_placement_version",

@@ -1,200 +1,185 @@
-"""Oracle SQL: BI marts and progression (M-24 .. M-33)."""
+"""Oracle SQL: BI marts and progression (M-24 .. M-33).
 
+Facts about a player's play are one shape, ``<facts>`` with day, player, lifetime, country and version; what the
+player was installed as is looked up beside them (``_with_install``).
+"""
+
+from playgrid.functions.cols import SPEND_CATEGORIES
 from playgrid.oracle.base import cte
+from playgrid.oracle.q_core import known
 from playgrid.oracle.sqlfn import FLT, FLTC, INT, LIFETIME_BUCKET, LIFETIME_ORDER, P, PR, RND, VGTE
 
+UNKNOWN = "'(unknown)'"
+_DSR = INT(PR("daysSinceRegistration"))
 
-def _ad_placement(country: bool) -> str:
-    keys = "app_version, country" if country else "app_version"
-    share = "rev_share_in_version_country" if country else "rev_share_in_version"
-    ccol = "coalesce(country, '(unknown)') AS country," if country else ""
-    cwhere = "AND coalesce(country, '(unknown)') IN ('US', 'PH')" if country else ""
-    on = " AND ".join(f"a.{k} = v.{k}" for k in keys.split(", "))
+
+# ------------------------------------------------------------ ad placements
+cte("q_ad_shown", f"""
+SELECT app_version, coalesce(country, {UNKNOWN}) AS country, coalesce(revenue_source, {UNKNOWN}) AS placement,
+       player_id, revenue_amount AS paid
+FROM q_fct_revenue WHERE revenue_type = 'ad_reward' AND app_version IS NOT NULL AND {VGTE('app_version', '1.0.22')}
+""")
+
+
+def _placements(keys: str, share: str, only: str = "true") -> str:
+    """Placements of each ``keys`` group; the share is of the group's whole."""
     return f"""
-WITH src AS (
-  SELECT app_version, {ccol} coalesce(revenue_source, '(unknown)') AS placement, player_id, revenue_amount
-  FROM q_fct_revenue
-  WHERE revenue_type = 'ad_reward' AND app_version IS NOT NULL AND {VGTE('app_version', '1.0.22')} {cwhere}),
-agg AS (
-  SELECT {keys}, placement, CAST(count(*) AS INTEGER) AS ad_impressions,
-         CAST(count(DISTINCT player_id) AS INTEGER) AS unique_viewers, sum(revenue_amount) AS ad_revenue
-  FROM src GROUP BY ALL),
-ver AS (SELECT {keys}, sum(ad_revenue) AS v FROM agg GROUP BY ALL)
-SELECT {', '.join('a.' + k for k in keys.split(', '))}, a.placement, a.ad_impressions, a.unique_viewers,
-       a.ad_revenue, a.ad_revenue / nullif(a.ad_impressions, 0) * 1000 AS ecpm,
-       a.ad_revenue / nullif(a.unique_viewers, 0) AS rev_per_viewer, a.ad_revenue / nullif(v.v, 0) AS {share}
-FROM agg a JOIN ver v ON {on}
+SELECT {keys}, placement, CAST(len(who) AS INTEGER) AS ad_impressions, CAST(len(list_distinct(who)) AS INTEGER) AS unique_viewers,
+       paid AS ad_revenue, 1000 * paid / len(who) AS ecpm, paid / len(list_distinct(who)) AS rev_per_viewer,
+       paid / nullif(sum(paid) OVER (PARTITION BY {keys}), 0) AS {share}
+FROM (SELECT {keys}, placement, list(player_id) AS who, sum(paid) AS paid FROM q_ad_shown WHERE {only} GROUP BY {keys}, placement)
 """
 
 
-cte("q_ad_placement_version", _ad_placement(False))
-cte("q_ad_placement_country", _ad_placement(True))
+cte("q_ad_placement_version", _placements("app_version", "rev_share_in_version"))
+cte("q_ad_placement_country", _placements("app_version, country", "rev_share_in_version_country", "country IN ('US', 'PH')"))
 
-cte("q_ad_segment", f"""
-WITH device AS (
-  SELECT user_id AS player_id,
-         first({P('device_type', 'props')} ORDER BY updated_at DESC, {P('device_type', 'props')} DESC)
-           FILTER (WHERE {P('device_type', 'props')} IS NOT NULL) AS device_type
-  FROM user_props GROUP BY user_id)
-SELECT p.app_version, coalesce(p.country, '(unknown)') AS country,
-       CASE WHEN d.device_type IS NULL THEN '(unknown)' ELSE split_part(d.device_type, ' ', 1) END AS device_brand,
-       count(*) AS players, count(*) FILTER (WHERE p.ad_rewards_count > 0) AS ad_viewers,
-       CAST(sum(p.ad_rewards_count) AS BIGINT) AS total_ad_rewards
-FROM q_dim_players p LEFT JOIN device d ON d.player_id = p.player_id
-WHERE p.app_version IS NOT NULL AND {VGTE('p.app_version', '1.0.22')}
-GROUP BY ALL
+cte("q_device", f"""
+SELECT player_id, split_part(max(told).device, ' ', 1) AS brand
+FROM (SELECT user_id AS player_id, {{'at': updated_at, 'device': {P('device_type', 'props')}}} AS told FROM user_props)
+WHERE told.device IS NOT NULL GROUP BY player_id
 """)
 
-cte("q_bi_activity", f"""
-WITH pd AS (
-  SELECT CAST(event_at AS DATE) AS event_date, player_id,
-         max({INT(PR('daysSinceRegistration'))}) AS dsr,
-         first({P('version')} ORDER BY event_at DESC, id DESC) FILTER (WHERE {P('version')} IS NOT NULL) AS app_version,
-         first({P('country')} ORDER BY event_at DESC, id DESC) FILTER (WHERE {P('country')} IS NOT NULL) AS country
-  FROM q_final GROUP BY ALL)
-SELECT pd.event_date, pd.player_id, coalesce(dp.marketing_campaign, '(unknown)') AS marketing_campaign,
-       coalesce(pd.country, dp.country, '(unknown)') AS country,
-       coalesce(pd.app_version, dp.app_version, '(unknown)') AS app_version,
-       coalesce(dp.install_platform, '(unknown)') AS install_platform, dp.install_date,
-       {LIFETIME_BUCKET('pd.dsr')} AS lifetime_bucket, {LIFETIME_ORDER('pd.dsr')} AS lifetime_order,
-       pd.event_date = dp.first_seen_date AS is_new_install
-FROM pd LEFT JOIN q_dim_players dp ON dp.player_id = pd.player_id
+cte("q_ad_segment", f"""
+SELECT app_version, country, device_brand, count(*) AS players, sum(CAST(rewards > 0 AS BIGINT))::BIGINT AS ad_viewers,
+       sum(rewards)::BIGINT AS total_ad_rewards
+FROM (SELECT app_version, coalesce(country, {UNKNOWN}) AS country, ad_rewards_count AS rewards,
+             coalesce((SELECT brand FROM q_device d WHERE d.player_id = p.player_id), {UNKNOWN}) AS device_brand
+      FROM q_player p WHERE {VGTE('app_version', '1.0.22')})
+GROUP BY app_version, country, device_brand
 """)
 
-cte("q_bi_ads", f"""
-WITH ev AS (
-  SELECT player_id, CAST(event_at AS DATE) AS event_date, {FLTC(PR('revenue'))} AS ad_revenue,
-         {INT(PR('daysSinceRegistration'))} AS dsr, {P('version')} AS app_version, {P('country')} AS country,
-         {P('source')} AS placement
-  FROM q_final WHERE name = 'revenue' AND {PR('type')} = 'ad_reward')
-SELECT e.event_date, e.player_id, coalesce(pc.campaign_name, '(unknown)') AS marketing_campaign,
-       coalesce(e.country, '(unknown)') AS country, coalesce(e.app_version, '(unknown)') AS app_version,
-       coalesce(pc.platform, '(unknown)') AS install_platform, pc.install_date,
-       {LIFETIME_BUCKET('e.dsr')} AS lifetime_bucket, {LIFETIME_ORDER('e.dsr')} AS lifetime_order,
-       coalesce(e.placement, '(unknown)') AS placement, 1 AS ad_view, coalesce(e.ad_revenue, 0.0) AS ad_revenue
-FROM ev e LEFT JOIN q_campaign pc ON pc.player_id = e.player_id
+# ------------------------------------------------- facts beside the install
+cte("q_install", """
+SELECT player_id, min(campaign_name) AS campaign_name, min(platform) AS platform, min(install_date) AS install_date
+FROM q_campaign GROUP BY player_id
 """)
 
 
-def _spend_category_sql(x: str) -> str:
-    from playgrid.functions.cols import SPEND_CATEGORIES
-    whens = " ".join("WHEN " + x + " IN (" + ", ".join("'" + m + "'" for m in members) + ") THEN '" + name + "'"
-                     for name, members in SPEND_CATEGORIES)
-    return f"(CASE {whens} ELSE 'Other' END)"
-
-
-cte("q_bi_gem_flows", f"""
-WITH ev AS (
-  SELECT player_id, CAST(event_at AS DATE) AS event_date, {INT(PR('Currency_Gems'), 'BIGINT')} AS gem_delta,
-         {INT(PR('daysSinceRegistration'))} AS dsr, {P('version')} AS app_version, {P('country')} AS country,
-         {P('source')} AS raw_source
-  FROM q_final WHERE name IN ('resource_top_up', 'resource_consume') AND {PR('Currency_Gems')} <> '')
-SELECT e.event_date, e.player_id, coalesce(pc.campaign_name, '(unknown)') AS marketing_campaign,
-       coalesce(e.country, '(unknown)') AS country, coalesce(e.app_version, '(unknown)') AS app_version,
-       coalesce(pc.platform, '(unknown)') AS install_platform, pc.install_date,
-       {LIFETIME_BUCKET('e.dsr')} AS lifetime_bucket, {LIFETIME_ORDER('e.dsr')} AS lifetime_order,
-       CASE WHEN e.gem_delta >= 0 THEN 'in' ELSE 'out' END AS direction,
-       coalesce(e.raw_source, '(unknown)') AS gem_source,
-       {_spend_category_sql("coalesce(e.raw_source, '(unknown)')")} AS category,
-       abs(e.gem_delta) AS gems
-FROM ev e LEFT JOIN q_campaign pc ON pc.player_id = e.player_id
-WHERE e.gem_delta IS NOT NULL AND e.gem_delta <> 0
-""")
+def _with_install(facts: str, *more: str) -> str:
+    """Rows of ``facts`` (event_date, player_id, dsr, app_version, country) with the player's install and ``more``."""
+    return f"""
+SELECT f.event_date, f.player_id, coalesce(i.campaign_name, {UNKNOWN}) AS marketing_campaign,
+       coalesce(f.country, {UNKNOWN}) AS country, coalesce(f.app_version, {UNKNOWN}) AS app_version,
+       coalesce(i.platform, {UNKNOWN}) AS install_platform, i.install_date,
+       {LIFETIME_BUCKET('f.dsr')} AS lifetime_bucket, {LIFETIME_ORDER('f.dsr')} AS lifetime_order, {', '.join(more)}
+FROM ({facts}) f LEFT JOIN q_install i ON i.player_id = f.player_id
+"""
+
+
+def _facts(names: str, value: str, where: str) -> str:
+    return (f"SELECT CAST(event_at AS DATE) AS event_date, player_id, {_DSR} AS dsr, {P('version')} AS app_version, "
+            f"{P('country')} AS country, coalesce({P('source')}, {UNKNOWN}) AS source, {value} AS value "
+            f"FROM q_final WHERE name IN ({names}) AND {where}")
 
-_LIFE = ("(CASE WHEN date_diff('day', p.install_day, i.purchase_date) IS NULL THEN NULL "
-         "ELSE greatest(0, date_diff('day', p.install_day, i.purchase_date)) END)")
+
+_THAT_DAY = "a.player_id = p.player_id AND a.event_date = p.event_date"
+_ON_DAY = f"""
+SELECT p.event_date, p.player_id,
+       (SELECT max({INT('a.v')}) FROM q_attr a WHERE {_THAT_DAY} AND a.attr = 'daysSinceRegistration') AS dsr,
+       coalesce({known('version', _THAT_DAY)}, w.app_version) AS app_version,
+       coalesce({known('country', _THAT_DAY)}, w.country) AS country, p.event_date = w.first_seen_date AS fresh
+FROM (SELECT DISTINCT player_id, CAST(event_at AS DATE) AS event_date FROM q_final) p
+LEFT JOIN q_player w ON w.player_id = p.player_id
+"""
+
+cte("q_bi_activity", _with_install(_ON_DAY, "f.fresh AS is_new_install"))
+
+cte("q_bi_ads", _with_install(_facts("'revenue'", FLTC(PR("revenue")), f"{PR('type')} = 'ad_reward'"),
+                              "f.source AS placement", "1 AS ad_view", "coalesce(f.value, 0.0) AS ad_revenue"))
+
+cte("q_spend_names", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{source}', '{name}')" for name, sources in SPEND_CATEGORIES for source in sources) + ") n(source, category)")
+
+cte("q_bi_gem_flows", _with_install(
+    _facts("'resource_top_up', 'resource_consume'", INT(PR("Currency_Gems"), "BIGINT"),
+           f"coalesce({INT(PR('Currency_Gems'), 'BIGINT')}, 0) <> 0"),
+    "CASE sign(f.value) WHEN 1 THEN 'in' ELSE 'out' END AS direction", "f.source AS gem_source",
+    "coalesce((SELECT min(category) FROM q_spend_names n WHERE n.source = f.source), 'Other') AS category",
+    "f.value * sign(f.value) AS gems"))
+
+# Product prefixes of the shop's sections; the longest that fits counts.
+SECTIONS = [("chapter", "ChapterPacks"), ("shoppacks.renewal", "RoulettePackShop"), ("shoppacks.", "ShopPacks"),
+            ("dailybenefits.", "DailyBenefits")]
+_SECTIONS = ", ".join(f"('{p}', '{s}')" for p, s in SECTIONS)
+_LIFE = "greatest(0, b.purchase_date - coalesce(w.install_date, w.first_seen_date)) + 0 * (b.purchase_date - coalesce(w.install_date, w.first_seen_date))"
 
 cte("q_bi_iap", f"""
-WITH iap AS (SELECT player_id, purchase_date, usd_amount, product FROM q_iap
-             WHERE usd_amount IS NOT NULL AND purchase_date IS NOT NULL),
-first_purchase AS (SELECT player_id, min(purchase_date) AS first_purchase_date FROM iap GROUP BY player_id),
-pl AS (SELECT player_id, marketing_campaign, coalesce(country, '(unknown)') AS country,
-              coalesce(app_version, '(unknown)') AS app_version,
-              coalesce(install_platform, '(unknown)') AS install_platform, install_date,
-              coalesce(install_date, first_seen_date) AS install_day
-       FROM q_dim_players)
-SELECT i.purchase_date AS event_date, i.player_id, coalesce(p.marketing_campaign, '(unknown)') AS marketing_campaign,
-       p.country, p.app_version, p.install_platform, p.install_date,
-       {LIFETIME_BUCKET(_LIFE)} AS lifetime_bucket, {LIFETIME_ORDER(_LIFE)} AS lifetime_order,
-       i.product,
-       CASE WHEN i.product LIKE 'chapter%' THEN 'ChapterPacks'
-            WHEN i.product LIKE 'shoppacks.renewal%' THEN 'RoulettePackShop'
-            WHEN i.product LIKE 'shoppacks.%' THEN 'ShopPacks'
-            WHEN i.product LIKE 'dailybenefits.%' THEN 'DailyBenefits'
-            WHEN i.product = 'adfree' THEN 'AdFree'
-            WHEN i.product = '(unknown)' THEN '(unknown)' ELSE 'Other' END AS placement,
-       i.usd_amount, 1 AS purchase_cnt, i.purchase_date = f.first_purchase_date AS is_first_purchase
-FROM iap i LEFT JOIN pl p ON p.player_id = i.player_id
-LEFT JOIN first_purchase f ON f.player_id = i.player_id
+SELECT b.purchase_date AS event_date, b.player_id, coalesce(w.marketing_campaign, {UNKNOWN}) AS marketing_campaign,
+       CASE WHEN w.player_id IS NOT NULL THEN coalesce(w.country, {UNKNOWN}) END AS country,
+       CASE WHEN w.player_id IS NOT NULL THEN coalesce(w.app_version, {UNKNOWN}) END AS app_version,
+       CASE WHEN w.player_id IS NOT NULL THEN coalesce(w.install_platform, {UNKNOWN}) END AS install_platform, w.install_date,
+       {LIFETIME_BUCKET(f'({_LIFE})')} AS lifetime_bucket, {LIFETIME_ORDER(f'({_LIFE})')} AS lifetime_order, b.product,
+       coalesce((SELECT arg_max(s.section, length(s.prefix)) FROM (VALUES {_SECTIONS}) s(prefix, section)
+                 WHERE starts_with(b.product, s.prefix)),
+                CASE b.product WHEN 'adfree' THEN 'AdFree' WHEN {UNKNOWN} THEN {UNKNOWN} ELSE 'Other' END) AS placement,
+       b.usd_amount, 1 AS purchase_cnt,
+       b.purchase_date = min(b.purchase_date) OVER (PARTITION BY b.player_id) AS is_first_purchase
+FROM (SELECT * FROM q_iap WHERE purchase_date IS NOT NULL) b LEFT JOIN q_dim_players w ON w.player_id = b.player_id
 """)
 
-cte("q_bi_revenue", """
-SELECT event_date, 'Ads' AS revenue_source, marketing_campaign, country, app_version, install_platform,
-       install_date, lifetime_bucket, sum(ad_revenue) AS revenue_usd
-FROM q_bi_ads GROUP BY ALL
-UNION ALL
-SELECT event_date, 'IAP' AS revenue_source, marketing_campaign, country, app_version, install_platform,
-       install_date, lifetime_bucket, sum(usd_amount) AS revenue_usd
-FROM q_bi_iap GROUP BY ALL
+_REVENUE_KEYS = "event_date, marketing_campaign, country, app_version, install_platform, install_date, lifetime_bucket"
+cte("q_bi_revenue", f"""
+SELECT revenue_source, {_REVENUE_KEYS}, sum(usd) AS revenue_usd
+FROM (SELECT 'Ads' AS revenue_source, {_REVENUE_KEYS}, ad_revenue AS usd FROM q_bi_ads
+      UNION ALL BY NAME SELECT 'IAP' AS revenue_source, {_REVENUE_KEYS}, usd_amount AS usd FROM q_bi_iap)
+GROUP BY revenue_source, {_REVENUE_KEYS}
 """)
 
+# -------------------------------------------------------------- level events
+# What an event means: its name, the outcome that it needs (null: any), and whether failures must be (un)tracked.
+_MEANS = [("story_start", None, None, "level_start"), ("chapter_fight_summary", "true", None, "level_complete"),
+          ("chapter_fight_summary", "false", None, "level_fail"), ("chapter_finish", None, False, "level_complete")]
+_LEVEL = {
+    "chapter": INT(PR("chapter")), "all_chapter_tries": INT(PR("allChapterTries")), "chapter_run_number": INT(PR("chapterRunNumber")),
+    "battles_count": INT(PR("BattlesCount")), "energy_spend": INT(PR("energy_spend")), "days_since_registration": _DSR,
+    "avg_rounds": FLT(PR("AvgRounds")), "avg_hp_percent": FLT(PR("AvgHpPercent")), "player_power": FLT(PR("playerPower")),
+    "ab_version": P("abVersion"), "locale": P("locale"), "run_id": P("runId"), "app_version": P("version"),
+    "is_star_mode": f"lower(coalesce({P('isStarMode')}, {P('IsStarMode')})) = 'true'",
+    "has_fail_tracking": VGTE(P("version"), "1.0.28"),
+}
+
+
+def _sql(v) -> str:
+    return "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
+
+
+cte("q_level_means", "SELECT * FROM (VALUES " + ", ".join(
+    f"({', '.join(map(_sql, m))})" for m in _MEANS) + ") m(source_event, outcome, tracked, event_type)")
+
+_OF_INSTALL = ["platform", "device_brand", "device_model", "os_name"]
 cte("q_levels", f"""
-WITH ev AS (
-  SELECT id AS event_id, event_at, CAST(event_at AS DATE) AS event_date, name AS source_event, player_id,
-         {INT(PR('chapter'))} AS chapter, {P('version')} AS app_version, {P('abVersion')} AS ab_version,
-         {P('country')} AS country, {P('locale')} AS locale,
-         {INT(PR('daysSinceRegistration'))} AS days_since_registration,
-         {INT(PR('allChapterTries'))} AS all_chapter_tries,
-         lower(coalesce({P('isStarMode')}, {P('IsStarMode')})) = 'true' AS is_star_mode,
-         lower({PR('IsWin')}) AS is_win_raw, {P('runId')} AS run_id,
-         {INT(PR('chapterRunNumber'))} AS chapter_run_number, {INT(PR('BattlesCount'))} AS battles_count,
-         {FLT(PR('AvgRounds'))} AS avg_rounds, {FLT(PR('AvgHpPercent'))} AS avg_hp_percent,
-         {INT(PR('energy_spend'))} AS energy_spend, {FLT(PR('playerPower'))} AS player_power
-  FROM q_final
-  WHERE name IN ('story_start', 'chapter_fight_summary', 'chapter_finish') AND {PR('isTest')} <> 'true'),
-typed AS (
-  SELECT *, {VGTE('app_version', '1.0.28')} AS has_fail_tracking
-  FROM ev WHERE {VGTE('app_version', '1.0.22')}),
-t AS (
-  SELECT *, CASE WHEN source_event = 'story_start' THEN 'level_start'
-                 WHEN source_event = 'chapter_fight_summary' AND is_win_raw = 'true' THEN 'level_complete'
-                 WHEN source_event = 'chapter_fight_summary' AND is_win_raw = 'false' THEN 'level_fail'
-                 WHEN source_event = 'chapter_finish' AND NOT has_fail_tracking THEN 'level_complete' END AS event_type
-  FROM typed)
-SELECT t.event_id, t.event_at, t.event_date, t.event_type, t.source_event, t.player_id, t.chapter,
-       coalesce(t.chapter, -1) AS chapter_key, t.is_star_mode, t.run_id, t.chapter_run_number,
-       t.all_chapter_tries, t.battles_count, t.avg_rounds, t.avg_hp_percent, t.energy_spend, t.player_power,
-       t.has_fail_tracking, t.days_since_registration,
-       {LIFETIME_BUCKET('t.days_since_registration')} AS lifetime_bucket,
-       {LIFETIME_ORDER('t.days_since_registration')} AS lifetime_order,
-       coalesce(t.app_version, '(unknown)') AS app_version, t.ab_version,
-       coalesce(t.country, pc.install_country, '(unknown)') AS country, t.locale,
-       coalesce(pc.platform, '(unknown)') AS platform, coalesce(pc.device_brand, '(unknown)') AS device_brand,
-       coalesce(pc.device_model, '(unknown)') AS device_model, coalesce(pc.os_name, '(unknown)') AS os_name,
-       pc.os_version, pc.os_api_level, coalesce(pc.is_test_profile, false) AS is_test_profile
-FROM t LEFT JOIN q_campaign pc ON pc.player_id = t.player_id
-WHERE t.event_type IS NOT NULL
+SELECT l.id AS event_id, l.event_at, CAST(l.event_at AS DATE) AS event_date, m.event_type, m.source_event, l.player_id,
+       l.* EXCLUDE (id, event_at, name, player_id, outcome, told_country, app_version),
+       coalesce(l.chapter, -1) AS chapter_key, coalesce(l.app_version, {UNKNOWN}) AS app_version,
+       {LIFETIME_BUCKET('l.days_since_registration')} AS lifetime_bucket, {LIFETIME_ORDER('l.days_since_registration')} AS lifetime_order,
+       coalesce(l.told_country, c.install_country, {UNKNOWN}) AS country,
+       {', '.join(f'coalesce(c.{x}, {UNKNOWN}) AS {x}' for x in _OF_INSTALL)},
+       c.os_version, c.os_api_level, c.is_test_profile IS TRUE AS is_test_profile
+FROM (SELECT id, event_at, name, player_id, lower({PR('IsWin')}) AS outcome, {P('country')} AS told_country,
+             {', '.join(f'{e} AS {c}' for c, e in _LEVEL.items())}
+      FROM q_final WHERE {PR('isTest')} <> 'true' AND {VGTE(P('version'), '1.0.22')}) l
+JOIN q_level_means m ON m.source_event = l.name AND coalesce(m.outcome = l.outcome, m.outcome IS NULL)
+                    AND coalesce(m.tracked = l.has_fail_tracking, m.tracked IS NULL)
+LEFT JOIN q_campaign c ON c.player_id = l.player_id
 """)
 
+_FUNNEL = ("event_date, chapter, chapter_key, is_star_mode, app_version, has_fail_tracking, country, platform, os_name, "
+           "device_brand, lifetime_bucket")
 cte("q_level_funnel", f"""
-SELECT event_date, chapter, chapter_key, is_star_mode, app_version, has_fail_tracking, country, platform,
-       os_name, device_brand, lifetime_bucket, max(lifetime_order) AS lifetime_order,
-       count(*) FILTER (WHERE event_type = 'level_start') AS starts,
-       count(*) FILTER (WHERE event_type = 'level_complete') AS completes,
-       count(*) FILTER (WHERE event_type = 'level_fail') AS fails,
-       CASE WHEN has_fail_tracking THEN greatest(count(*) FILTER (WHERE event_type = 'level_start')
-            - count(*) FILTER (WHERE event_type = 'level_complete')
-            - count(*) FILTER (WHERE event_type = 'level_fail'), 0) END AS abandons,
-       count(DISTINCT player_id) FILTER (WHERE event_type = 'level_start') AS start_players,
-       count(DISTINCT player_id) FILTER (WHERE event_type = 'level_complete') AS complete_players,
-       count(DISTINCT player_id) FILTER (WHERE event_type = 'level_fail') AS fail_players,
-       CASE WHEN count(*) FILTER (WHERE event_type = 'level_start') > 0 THEN
-         {RND("count(*) FILTER (WHERE event_type = 'level_complete') / count(*) FILTER (WHERE event_type = 'level_start')", 4)} END AS complete_rate,
-       CASE WHEN has_fail_tracking AND count(*) FILTER (WHERE event_type IN ('level_complete', 'level_fail')) > 0 THEN
-         {RND("count(*) FILTER (WHERE event_type = 'level_fail') / count(*) FILTER (WHERE event_type IN ('level_complete', 'level_fail'))", 4)} END AS fail_rate,
-       avg(battles_count) FILTER (WHERE event_type IN ('level_complete', 'level_fail')) AS avg_battles,
-       avg(avg_hp_percent) FILTER (WHERE event_type = 'level_fail') AS avg_hp_percent_on_fail
-FROM q_levels WHERE NOT is_test_profile
-GROUP BY event_date, chapter, chapter_key, is_star_mode, app_version, has_fail_tracking, country, platform,
-         os_name, device_brand, lifetime_bucket
+WITH steps AS (
+  SELECT {_FUNNEL}, max(lifetime_order) AS lifetime_order,
+         list(player_id) FILTER (event_type = 'level_start') AS s, list(player_id) FILTER (event_type = 'level_complete') AS c,
+         list(player_id) FILTER (event_type = 'level_fail') AS f, avg(battles_count) FILTER (event_type <> 'level_start') AS avg_battles,
+         avg(avg_hp_percent) FILTER (event_type = 'level_fail') AS avg_hp_percent_on_fail
+  FROM q_levels WHERE NOT is_test_profile GROUP BY {_FUNNEL}),
+counted AS (
+  SELECT * EXCLUDE (s, c, f), coalesce(len(s), 0) AS starts, coalesce(len(c), 0) AS completes, coalesce(len(f), 0) AS fails,
+         coalesce(len(list_distinct(s)), 0) AS start_players, coalesce(len(list_distinct(c)), 0) AS complete_players,
+         coalesce(len(list_distinct(f)), 0) AS fail_players
+  FROM steps)
+SELECT *, CASE WHEN has_fail_tracking THEN greatest(0, starts - completes - fails) END AS abandons,
+       {RND('completes / nullif(starts, 0)', 4)} AS complete_rate,
+       CASE WHEN has_fail_tracking THEN {RND('fails / nullif(completes + fails, 0)', 4)} END AS fail_rate
+FROM counted
 """)
