@@ -136,8 +136,8 @@ SELECT
               || CASE WHEN k % 11 = 0 THEN '0' ELSE '1000' END || '}"' END)
   END || '}' AS properties,
   '{}' AS context,
-  ts AS received_at,
-  ts AS ingested_at,
+  ts + to_hours(event_id * 7 % 96) AS received_at,
+  ts + to_hours(event_id * 7 % 96) + INTERVAL 1 MINUTE AS ingested_at,
   event_id AS seq
 FROM g_common
 """)

@@ -10,14 +10,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from playgrid.operators import loads
+from playgrid.params import param
 from playgrid.plans import bi, finance, staging
 from playgrid.plans.registry import Ctx, query
 from playgrid.session import checkpoint_dir
 from playgrid.sources import ingest
 
 STATE_DAYS = 3
-LOOK_BACK_DAYS = 60
-BACKFILL = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 
 
 def _target(spark, name: str) -> str:
@@ -54,7 +53,8 @@ def q_economy_incremental(spark, sf):
     c, path = Ctx(spark, sf), _target(spark, "economy")
     events = c.inp("events")
     for log in (earlier_log(events, _last_day(events)), events):
-        loads.load_trailing(spark, path, economy_rows(c, log), ["event_id", "currency"], sort_by=["currency"])
+        loads.load_trailing(spark, path, economy_rows(c, log), ["event_id", "currency"],
+                            days=param(spark, "trailing_days"), sort_by=["currency"])
     return loads.existing(spark, path)
 
 
@@ -68,7 +68,8 @@ def q_balance_incremental(spark, sf):
         return balance_rows(events)(None)
     first = last - dt.timedelta(days=STATE_DAYS - 1 + 2)  # two days before the day of the first load
     for log in (earlier_log(events, last), events):
-        loads.load_trailing(spark, path, balance_rows(log), ["currency"], first_day=first)
+        loads.load_trailing(spark, path, balance_rows(log), ["currency"],
+                            days=param(spark, "trailing_days"), first_day=first)
     return loads.existing(spark, path)
 
 
@@ -76,22 +77,23 @@ def q_balance_incremental(spark, sf):
 def q_balance_backfill(spark, sf):
     """One calendar month recomputed in a target that holds an older state of it."""
     path, events = _target(spark, "balance-history"), Ctx(spark, sf).inp("events")
+    month = param(spark, "backfill_from"), param(spark, "backfill_to")
     last = _last_day(events)
     if last is not None:
         loads.put(balance_rows(earlier_log(events, last))(None), path, ["event_date"])
-    rows = finance.balance_backfill(staging.events_final(events), *map(str, BACKFILL))
-    loads.replace_range(path, rows, *BACKFILL)
+    rows = finance.balance_backfill(staging.events_final(events), *map(str, month))
+    loads.replace_range(path, rows, *month)
     got = loads.existing(spark, path)
-    return rows if got is None else got.filter(F.col("event_date").between(*map(F.lit, BACKFILL)))
+    return rows if got is None else got.filter(F.col("event_date").between(*map(F.lit, month)))
 
 
 @query("conversions_upsert")
 def q_conversions_upsert(spark, sf):
-    """Half of the records first, then the re-read of the trailing 60 days, twice."""
+    """Half of the records first, then the re-read of the trailing days, twice."""
     path, pages = _target(spark, "conversions"), ingest.api_conversions(spark, sf)
     updated = F.try_to_timestamp(F.get_json_object("body", "$.updated_at"), F.lit("yyyy-MM-dd HH:mm:ss"))
     pages = pages.withColumn("at", updated)
-    since = pages.agg(F.max("at")).scalar() - F.make_interval(days=F.lit(LOOK_BACK_DAYS))
+    since = pages.agg(F.max("at")).scalar() - F.make_interval(days=F.lit(param(spark, "reread_days")))
     again = pages.filter(F.col("at") >= since)
     for fetch in (pages.filter("pos % 2 = 0"), again, again):
         loads.upsert(path, ingest.conversions(fetch.drop("at")), ["conversion_id"])

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playgrid.params import param
 from playgrid.plans import alerts, bi, finance, quality
 from playgrid.plans.q_clans import ClanCtx
 from playgrid.plans.registry import Ctx, query
@@ -13,10 +14,14 @@ from playgrid.plans.staging import EVENT_KEY
 
 def _big_wins(spark, sf, mode):
     wins = alerts.win_events(spark, sf)
-    # look-back window of the check: the last 90 days of arrivals in the data
-    since = wins.agg(F.max("created_at")).scalar() - F.expr("INTERVAL 90 DAYS")
+    # look-back window of the check: the last days of arrivals in the data
+    since = wins.agg(F.max("created_at")).scalar() - F.make_interval(days=F.lit(param(spark, "alert_lookback_days")))
+    if told := param(spark, "alert_since"):
+        since = F.lit(told).cast("timestamp_ntz")
     return alerts.big_wins(wins, alerts.providers(spark, sf), alerts.games(spark, sf), alerts.players(spark, sf),
-                           alerts.fx_history(spark, sf), alerts.alert_ledger(wins, mode), mode, since)
+                           alerts.fx_history(spark, sf), alerts.alert_ledger(wins, mode), mode, since,
+                           scale=param(spark, "alert_threshold_scale"), fx_customer=param(spark, "fx_customer"),
+                           fx_days=param(spark, "fx_lookback_days"))
 
 
 @query("big_wins_round")

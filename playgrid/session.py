@@ -32,7 +32,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in SESSION_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.driver.memory", os.environ.get("PLAYGRID_DRIVER_MEM", "16g"))
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     apply_conf(spark)

@@ -175,8 +175,9 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(t == "signup", F.lit("server")).otherwise(F.lit("client")).alias("source"),
         F.when(fam == "a", a_props).when(fam == "b", b_props).otherwise(c_props).alias("properties"),
         F.lit("{}").alias("context"),
-        F.col("ts").alias("received_at"),
-        F.col("ts").alias("ingested_at"),
+        # arrivals lag by up to four days, so the last version of a key need not be the latest event
+        (F.col("ts") + F.make_interval(hours=(F.col("event_id") * 7 % 96).cast("int"))).alias("received_at"),
+        (F.col("ts") + F.make_interval(hours=(F.col("event_id") * 7 % 96).cast("int"), mins=F.lit(1))).alias("ingested_at"),
         F.col("event_id").alias("seq"),
     )
 

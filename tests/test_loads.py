@@ -79,11 +79,21 @@ def test_economy_load_equals_full_build(spark, scratch):
     assert rows(loads.existing(spark, path), *cols) == rows(full, *cols)
 
 
-def test_window_reaches_the_scan(spark):
-    """The window's start stands below the log's dedup window."""
-    c = Ctx(spark, SF)
-    plan = q_loads.balance_rows(c.inp("events"))(D(10))._jdf.queryExecution().optimizedPlan().toString()
-    assert re.search("Window.*Filter.*2024-01-10", plan, re.S)
+def test_filters_reach_below_the_deduplication(spark):
+    """The window's start, and the event names that a mart reads, stand below the log's dedup window."""
+    c = Ctx(spark, SF, single=True)
+    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    log = staging.events_final(q_loads._since(c.inp("events"), D(10)))
+    assert re.search("Window.*Filter.*2024-01-10", text(finance.balance_snapshots(log)), re.S)
+    assert re.search("Window.*Filter.*resource_top_up", text(staging.int_economy(c.stg())), re.S)
+
+
+def test_log_is_pruned_by_day_and_name(spark):
+    """A reader of the shared log skips days by partition and names by the files' statistics."""
+    log = Ctx(spark, SF).final().filter("event_date = DATE '2024-01-10' AND name = 'revenue'").select("player_id")
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(name,revenue)" in plan and re.search(r"PartitionFilters: \[[^]]*event_date", plan)
+    assert re.search(r"ReadSchema: struct<name:string,player_id:string>", plan)
 
 
 def test_empty_target_and_no_rows(spark, scratch):
