@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from playgrid.llm.common import slices, tidy, written
+from playgrid.llm.common import held, slices, tidy, written
 from playgrid.llm.library_bpe import ByteBPE
 from playgrid.llm.sentencepiece_bpe import MARK
 
@@ -50,7 +50,7 @@ _PRESENCE = -1
 class Aligner:
     """Both encoders with the byte lengths and decimal spellings of their tokens."""
 
-    made: dict[tuple[str, str], "Aligner"] = {}
+    made: dict[tuple[str, str], "Aligner"] = held(__name__)
 
     def __init__(self, a_json: str, b_model: str):
         import sentencepiece

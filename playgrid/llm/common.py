@@ -54,14 +54,27 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), **opti
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: list[tuple[str, dict]] = []
+
+
+def held(owner: str) -> dict:
+    """A dictionary in which the module ``owner`` keeps encoders and memos between its tasks in a Python worker."""
+    _HELD.append((owner, {}))
+    return _HELD[-1][1]
+
+
 def tidy(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``task`` (batches -> batches), handing the memory that it freed back to the system at its end.
 
-    Python workers live on between tasks, several to an executor, and would keep it.
+    Python workers live on between tasks, several to an executor, and would keep it. What other modules keep in the
+    worker goes when the task begins, so a worker holds the memos of one operator at a time.
     """
 
     @wraps(task)
     def run(batches):
+        for owner, kept in _HELD:
+            if owner != task.__module__:
+                kept.clear()
         yield from task(batches)
         pa.default_memory_pool().release_unused()
         if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
@@ -82,7 +95,7 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about ``most`` text bytes (a longer text is a piece of its own)."""
     for b in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -94,7 +107,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 20)
             at = to
 
 
-BITMAP_BITS = 27
+LEAST_BITS, MOST_BITS = 20, 27
+BITS_PER_KEY = 16
 
 
 class Bitmap:
@@ -111,8 +125,12 @@ class Bitmap:
         return Bitmap(np.frombuffer(zstandard.decompress(packed, size), np.uint8))
 
 
-def bitmap_of(values: DataFrame, column: str, bits: int = BITMAP_BITS) -> Bitmap:
-    """A bitmap of the column's low bits: 2^bits bits, whatever the input's size."""
+def bitmap_of(values: DataFrame, column: str) -> Bitmap:
+    """A bitmap of the column's low bits, of 16 to 32 bits a row of ``values`` (a written table), 16 MB at most.
+
+    Beyond 8 million rows it gets fuller, and clears less of what it is asked about.
+    """
+    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_PER_KEY * values.count() - 1).bit_length()))
     place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
     rows = values.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p")).groupBy("k").agg(
         F.bitmap_construct_agg("p").alias("b")).collect()

@@ -181,7 +181,8 @@ def judge(docs: DataFrame, min_docs: int = 20, share: float = 0.02, most_lost: f
     every row of ``docs``."""
     keyed = docs.select(F.col("doc_id").cast("bigint"), "text", F.col("source").cast("string")).withColumn(
         "row_key", F.xxhash64("doc_id", "text", "source"))
-    m = written(keyed.mapInArrow(_lines, "host bigint, row_key bigint, lines array<bigint>"), "quality")
+    # equal rows are one document: each is counted once
+    m = written(keyed.mapInArrow(_lines, "host bigint, row_key bigint, lines array<bigint>").dropDuplicates(["row_key"]), "quality")
     lines = m.select("host", "row_key", F.explode("lines").alias("line"))
     per_host = m.groupBy("host").agg(F.count("*").alias("host_docs"))
     above = (F.col("docs") > F.lit(share) * F.col("host_docs")) | (F.col("docs") > most_docs)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.common import Memo, tidy
+from playgrid.llm.common import Memo, held, tidy
 
 MARK = "▁"
 MEMO_WORDS = 500_000
@@ -142,7 +142,7 @@ class _Odd(bytes):
 class _Worker:
     """The encoder with its memo, kept for the life of a Python worker."""
 
-    made: dict[str, "_Worker"] = {}
+    made: dict[str, "_Worker"] = held(__name__)
 
     def __init__(self, model_file: str):
         self.bpe = PieceBPE(model_file)

@@ -53,7 +53,7 @@ class _Powers:
     @classmethod
     def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            size = 1 << max(21, n.bit_length())
+            size = 1 << max(19, n.bit_length())
             made = []
             for base in (_BASE, pow(_BASE, -1, 1 << 64)):
                 p = np.full(size, base, np.uint64)
@@ -183,20 +183,19 @@ class IndexFamily:
 
 
 class _Seen:
-    """Values met before in a task, as far as a bounded set remembers."""
+    """64-bit hashes met before in a task, as far as a table of 2^19 places remembers (the last one of each place)."""
 
-    def __init__(self, most: int = 500_000):
-        self.values: set[int] = set()
-        self.most = most
+    def __init__(self, bits: int = 19):
+        self.last = np.zeros(1 << bits, np.int64)
+        self.mask = np.int64((1 << bits) - 1)
 
     def new(self, values: np.ndarray) -> np.ndarray:
-        if len(self.values) > self.most:
-            self.values.clear()
+        """Which values are met for the first time; 0 is always new."""
         out = np.zeros(len(values), bool)
-        for k, v in enumerate(values.tolist()):
-            if v not in self.values:
-                self.values.add(v)
-                out[k] = True
+        some, first = np.unique(values, return_index=True)
+        fresh = (self.last[some & self.mask] != some) | (some == 0)
+        out[first[fresh]] = True
+        self.last[some & self.mask] = some
         return out
 
 
@@ -266,7 +265,7 @@ def repeated_windows(texts: DataFrame, batches: int = 2) -> DataFrame:
         mine = texts.filter(F.pmod(F.xxhash64("text_key"), F.lit(batches)) == k) if batches > 1 else texts
         family.append(mine, last=k == batches - 1)
     whole, edges = family.matches()
-    share = lambda df, c: spark.sparkContext.broadcast(bitmap_of(df, c))
+    share = lambda df, c: spark.sparkContext.broadcast(bitmap_of(df, c))  # noqa: E731  df: a written table
     edge_bits = share(edges, "prefix")
     rows = written(texts.mapInArrow(_block_rows(share(whole, "run"), edge_bits),
                                     "kind int, core bigint, whole bigint, text_key bigint, at int, n int"), "blocks")
@@ -277,8 +276,8 @@ def repeated_windows(texts: DataFrame, batches: int = 2) -> DataFrame:
     state = counts.join(open_cores.withColumn("open", F.lit(True)), "core", "left").filter("times > 1 or open")
     told = written(blocks.drop("kind").join(state, ["core", "whole"]), "told")
     settled = told.filter("times > 1")
-    single = share(counts.filter("times = 1").join(open_cores, "core", "left_semi"), "whole")
-    unsettled = share(told.filter("open").select("text_key").distinct(), "text_key")
+    single = share(written(counts.filter("times = 1").join(open_cores, "core", "left_semi").select("whole"), "single"), "whole")
+    unsettled = share(written(told.filter("open").select("text_key").distinct(), "unsettled"), "text_key")
     windows = written(texts.mapInArrow(_window_rows(edge_bits, share(open_cores, "core"), unsettled, single),
                                        "window bigint, text_key bigint, at int"), "windows")
     again = windows.groupBy("window").agg(F.count("*").alias("times")).filter("times > 1").select("window")

@@ -130,17 +130,45 @@ class PrefixCounter:
         return sum(self.pretoken[p][-1] for p in pre[:-1]) + self.run(pre[-1])[-1]
 
     def fit(self, words: list[str], ends: list[int], budget: int) -> int:
-        """Characters of the longest prefix that ends with a word and has at most ``budget`` tokens."""
+        """Characters of the longest prefix with at most ``budget`` tokens (strings of special tokens are not cut)."""
         n = int(np.searchsorted(ends, budget, "right"))
-        return sum(map(len, words[:n]))
+        whole = sum(map(len, words[:n]))
+        if n == len(words) or words[n] in self.split.specials:
+            return whole
+        return whole + self._fit_inside(words[n], budget - (ends[n - 1] if n else 0))
+
+    def _fit_inside(self, word: str, budget: int) -> int:
+        """Characters of a word's longest prefix with at most ``budget`` tokens, fewer than the word has.
+
+        Read from the counts stored at every prefix of the pre-token that crosses the budget. Where a prefix ends, white
+        space and apostrophes may be split otherwise than in the word, so the places around are counted as they stand.
+        """
+        starts, base, held = [0], [0], []
+        for p in self.split.pretokens(word):
+            held = self.pretoken[p]
+            starts.append(starts[-1] + len(p))
+            base.append(base[-1] + held[-1])
+            if base[-1] > budget:
+                break
+        start, stop = starts[-2:]
+        chars = np.cumsum([len(c.encode()) for c in word[start:stop]])
+        fits = np.flatnonzero(base[-2] + np.array(held)[chars - 1] <= budget)
+        best = start + (int(fits[-1]) + 1 if len(fits) else 0)
+        before = max(0, len(starts) - 4)  # two pre-tokens earlier, from where on a prefix is split anew
+        near, used = starts[before], base[before]
+        count = lambda k: used + sum(self.pretoken[p][-1] for p in self.split.pretokens(word[near:k]))
+        for k in [*range(min(len(word), stop + 2), stop - 1, -1), *range(best, near, -1)]:
+            if count(k) <= budget:
+                return k
+        return near
 
 
 def counter(tokenizer_json: str, budget: int, store_prefixes: bool = False):
     """Column function text -> struct(n_bytes, n_tokens, over_limit, fit_chars[, prefix_counts]).
 
     ``over_limit``: more than ``budget`` tokens; ``fit_chars``: characters of the
-    longest prefix of whole words within the budget; ``prefix_counts``: tokens of
-    the first k characters, for every k.
+    longest prefix within the budget, also inside a word; ``prefix_counts``: tokens
+    of the first k characters, for every k.
     """
     names = ["n_bytes", "n_tokens", "over_limit", "fit_chars"] + ["prefix_counts"] * store_prefixes
     kinds = ["bigint", "bigint", "boolean", "bigint"] + ["array<int>"] * store_prefixes

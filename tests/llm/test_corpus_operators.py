@@ -264,3 +264,29 @@ def test_quality_cuts_frequent_lines(spark):
         got = quality_rules.judge(docs, most_docs=most_docs).collect()
         assert sorted(((r["doc_id"], r["clean_text"]) for r in got), key=repr) == sorted(((i, t) for i, t, _ in want(cut)), key=repr)
         assert all((r["lost_chars"] > 0) == (r["clean_text"] not in {t for _, t, _ in made}) for r in got)
+
+
+def test_op10_counts_documents_not_rows(spark):
+    """25 equal rows are one document, so its lines are not frequent; a line of 25 documents is."""
+    long = " ".join(f"word{i}" for i in range(60))
+    own = lambda i: "".join(chr(97 + int(c)) for c in str(i))  # noqa: E731  (figures in lines are not told apart)
+    same = [(1, f"only here\n{long}", "h")] * 25
+    other = [(i, f"{own(i)} {long}", "h") for i in range(2, 22)]
+    df = spark.createDataFrame(same + other, "doc_id long, text string, source string")
+    got = quality_rules.judge(df).collect()
+    assert len(got) == 45 and all(r["kept"] and r["lost_chars"] == 0 for r in got)
+    shared = [(i, f"only here it stands again\n{own(i)} {long}", "h") for i in range(30, 55)]
+    got = quality_rules.judge(spark.createDataFrame(other + shared, df.schema)).collect()
+    assert {r["doc_id"] for r in got if r["lost_chars"]} == {i for i, *_ in shared}
+
+
+def test_seen_and_bitmaps(spark):
+    rng = np.random.default_rng(8)
+    values = rng.integers(-2**62, 2**62, 5000)
+    seen = suffix_dedup._Seen(bits=20)
+    new = seen.new(np.concatenate((values, values[:100])))
+    assert new[:5000].all() and not new[5000:].any() and not seen.new(values[-50:]).all()
+    df = spark.createDataFrame([(int(v),) for v in values[:2500]], "v long")
+    bits = common.bitmap_of(df, "v")
+    assert common.in_bitmap(bits, values[:2500]).all() and common.in_bitmap(bits, values[2500:]).mean() < 0.05
+    assert 8 * len(bits.bits) == 1 << common.LEAST_BITS

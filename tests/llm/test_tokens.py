@@ -90,6 +90,23 @@ def test_stored_prefixes_answer_budgets(documents, texts):
         assert r["fit"] == max(k for k in range(min(len(t), 400) + 1) if count(t[:k]) <= 10) or len(t) > 400
 
 
+def test_fit_inside_words(spark):
+    """The longest prefix within a budget, also of texts without spaces, by counting every prefix."""
+    from pyspark.sql import functions as F
+    tok = Tokenizer.from_file(JSON)
+    texts = ["日本語テキスト" * 9, "a" * 90, "it's we'll I'd", "x  y   z    \n\n  w\t\t v", "'ll''ve'''s 'x", "1234567890" * 4, "!?…—–" * 6,
+             "mixed日本12!?'s  end ", "supercalifragilisticexpialidocious", "   x", "ﬁ🙂🙃é" * 5]
+    count = lambda s: len(tok.encode(s, add_special_tokens=False).ids)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for budget in (1, 2, 3, 5, 9, 17):
+        for r in docs.select("text", token_counts.count_column(F.col("text"), JSON, budget).alias("c")).select("text", "c.*").collect():
+            t = r["text"]
+            assert r["fit_chars"] == max(k for k in range(len(t) + 1) if count(t[:k]) <= budget), (t, budget)
+    long = "語" * 200_000
+    r = token_counts.count_documents(spark.createDataFrame([(1, long)], "doc_id long, text string"), JSON, 512).first()
+    assert count(long[:r["fit_chars"]]) <= 512 < count(long[:r["fit_chars"] + 1])
+
+
 def test_split_pattern_white_space():
     """The cut before spaces and the split pattern treat every character as the library does."""
     tok, c = Tokenizer.from_file(JSON), token_counts.PrefixCounter(JSON)
