@@ -111,6 +111,14 @@ LEAST_BITS, MOST_BITS = 20, 27
 BITS_PER_KEY = 16
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """A column name like ``name`` that none of the columns has (Spark compares them without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Bitmap:
     """A set of low bits. Pickled, as for a broadcast, it is compressed: every executor keeps a file of it."""
 
@@ -219,8 +227,9 @@ LOWER[65:91] += 32  # A-Z only
 
 def _parted(docs: DataFrame, keys: DataFrame, by: tuple[str, ...]) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
     """The rows of ``docs`` that a bitmap of the keys may have, the others, the keys, and when a row has a key."""
-    name = "_row_key"
-    keys = written(keys.select(F.xxhash64(*by).alias(name), *(F.col(k).alias(f"_key_{k}") for k in by)).distinct(), "keys")
+    name = unused("_row_key", docs.columns)
+    own = {k: unused(f"_key_{k}", docs.columns) for k in by}
+    keys = written(keys.select(F.xxhash64(*by).alias(name), *(F.col(k).alias(v) for k, v in own.items())).distinct(), "keys")
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(keys, name))
 
     @F.arrow_udf("boolean")
@@ -230,17 +239,17 @@ def _parted(docs: DataFrame, keys: DataFrame, by: tuple[str, ...]) -> tuple[Data
     keyed = docs.withColumn(name, F.xxhash64(*by))
     same = F.lit(True)
     for k in by:
-        same = same & keyed[k].eqNullSafe(F.col(f"_key_{k}"))
-    return keyed.filter(maybe(F.col(name))), keyed.filter(~maybe(F.col(name))).drop(name), keys.drop(name), same
+        same = same & keyed[k].eqNullSafe(F.col(own[k]))
+    return (keyed.filter(maybe(F.col(name))).drop(name), keyed.filter(~maybe(F.col(name))).drop(name), keys.drop(name), same)
 
 
 def without(docs: DataFrame, gone: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``docs`` without the rows whose key is in ``gone``; rows that a bitmap of the gone keys clears are not shuffled."""
     hit, rest, keys, same = _parted(docs, gone, by)
-    return rest.unionByName(hit.join(keys, same, "left_anti").drop("_row_key"))
+    return rest.unionByName(hit.join(keys, same, "left_anti"))
 
 
 def within(docs: DataFrame, wanted: DataFrame, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The rows of ``docs`` whose key is in ``wanted``; only rows that a bitmap of the keys may have are shuffled."""
     hit, _, keys, same = _parted(docs, wanted, by)
-    return hit.join(keys, same, "left_semi").drop("_row_key")
+    return hit.join(keys, same, "left_semi")

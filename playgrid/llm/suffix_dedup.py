@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playgrid.llm.common import bitmap_of, in_bitmap, mix, slices, text_bytes, tidy, written
+from playgrid.llm.common import bitmap_of, in_bitmap, mix, slices, text_bytes, tidy, unused, written
 
 LENGTH = 200
 GRAM = 100
@@ -332,7 +332,7 @@ def dedup_column(docs: DataFrame, name: str, digest: bool = False, batches: int
 
     Only texts that a bitmap of the cut ones may have go through the join with their starts.
     """
-    key, starts = "_dedup_key", "_dedup_starts"
+    key, starts = (unused(x, docs.columns) for x in ("_dedup_key", "_dedup_starts"))
     text = F.coalesce(F.col("text"), F.lit(""))
     found = written(repeated_windows(docs.select(F.xxhash64(text).alias("text_key"), text.alias("text")), batches), "starts")
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(found, "text_key"))

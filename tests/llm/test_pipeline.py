@@ -87,3 +87,17 @@ def test_doubled_input(spark):
     once, twice = (rows(written(P.drop_near_duplicates(spark, df, SF), "test-twice")) for df in (docs, docs.union(docs)))
     worded = lambda found: sorted(r for r in found if (r[1] or "").strip())
     assert worded(once) == worded(twice)
+
+
+def test_clashing_columns_stay(spark):
+    """Columns named like the stages' own come through unchanged, of any type."""
+    from pyspark.sql import functions as F
+    names = ["_toxicity", "_text_key", "_cut", "_scan", "_row_key", "_key_doc_id", "_dedup_key", "_dedup_starts", "row"]
+    given = table(spark, SF, "documents").select("*", *(F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names))
+    docs = given.unionByName(given.filter("doc_id % 10 = 3"))
+    for name, stage in P.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF), f"clash-{name}")
+        assert docs.columns == given.columns
+    kept = docs.select("doc_id", *names).collect()
+    assert kept and len(kept) == len({r["doc_id"] for r in kept})
+    assert all(r[n] == f"{n} {r['doc_id']}" for r in kept for n in names)
