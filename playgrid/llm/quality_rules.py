@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playgrid.llm.common import (LOWER, WORD_SPACE, bitmap_of, in_bitmap, mix, slices, span_hashes, text_bytes, word_spans,
-                                 written)
+                                 within, written)
 
 WINDOW = 8
 _WINDOW_KEYS = mix(np.arange(11, 11 + WINDOW, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -181,12 +181,16 @@ def judge(docs: DataFrame, min_docs: int = 20, share: float = 0.02, most_lost: f
     every row of ``docs``."""
     keyed = docs.select(F.col("doc_id").cast("bigint"), "text", F.col("source").cast("string")).withColumn(
         "row_key", F.xxhash64("doc_id", "text", "source"))
-    # equal rows are one document: each is counted once
-    m = written(keyed.mapInArrow(_lines, "host bigint, row_key bigint, lines array<bigint>").dropDuplicates(["row_key"]), "quality")
+    m = written(keyed.mapInArrow(_lines, "host bigint, row_key bigint, lines array<bigint>"), "quality")
     lines = m.select("host", "row_key", F.explode("lines").alias("line"))
-    per_host = m.groupBy("host").agg(F.count("*").alias("host_docs"))
+    # equal rows are one document: what they are more than one is taken off again, so only their lines are shuffled twice
+    times = written(m.groupBy("row_key").agg(F.count("*").alias("n")).filter("n > 1"), "repeated")
+    spare = within(m, times, ("row_key",)).dropDuplicates(["row_key"]).join(times, "row_key").withColumn("w", 1 - F.col("n"))
+    counted = m.withColumn("w", F.lit(1).cast("bigint")).select("host", "lines", "w").unionByName(spare.select("host", "lines", "w"))
+    per_host = counted.groupBy("host").agg(F.sum("w").alias("host_docs"))
     above = (F.col("docs") > F.lit(share) * F.col("host_docs")) | (F.col("docs") > most_docs)
-    frequent = (lines.groupBy("line", "host").agg(F.count("*").alias("docs")).filter(F.col("docs") > min_docs)
+    counted = counted.select("host", F.explode("lines").alias("line"), "w")
+    frequent = (counted.groupBy("line", "host").agg(F.sum("w").alias("docs")).filter(F.col("docs") > min_docs)
                 .join(per_host, "host").filter(above).select("line"))
     cut = written(lines.join(frequent, "line").groupBy("row_key").agg(F.collect_set("line").alias("frequent")), "frequent")
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(cut, "row_key"))
