@@ -133,12 +133,13 @@ class Bitmap:
         return Bitmap(np.frombuffer(zstandard.decompress(packed, size), np.uint8))
 
 
-def bitmap_of(values: DataFrame, column: str) -> Bitmap:
-    """A bitmap of the column's low bits, of 16 to 32 bits a row of ``values`` (a written table), 16 MB at most.
+def bitmap_of(values: DataFrame, column: str, per_key: int = BITS_PER_KEY) -> Bitmap:
+    """A bitmap of the column's low bits, of ``per_key`` bits or up to twice that a row of ``values`` (a written table),
+    16 MB at most. Of other values, one in ``per_key`` at most is taken for a row's.
 
     Beyond 8 million rows it gets fuller, and clears less of what it is asked about.
     """
-    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_PER_KEY * values.count() - 1).bit_length()))
+    bits = min(MOST_BITS, max(LEAST_BITS, (per_key * values.count() - 1).bit_length()))
     place = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
     rows = values.select(F.bitmap_bucket_number(place).alias("k"), F.bitmap_bit_position(place).alias("p")).groupBy("k").agg(
         F.bitmap_construct_agg("p").alias("b")).collect()

@@ -193,7 +193,7 @@ def judge(docs: DataFrame, min_docs: int = 20, share: float = 0.02, most_lost: f
     frequent = (counted.groupBy("line", "host").agg(F.sum("w").alias("docs")).filter(F.col("docs") > min_docs)
                 .join(per_host, "host").filter(above).select("line"))
     cut = written(lines.join(frequent, "line").groupBy("row_key").agg(F.collect_set("line").alias("frequent")), "frequent")
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(cut, "row_key"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(cut, "row_key", per_key=256))
 
     @F.arrow_udf("boolean")
     def maybe(keys: pa.Array) -> pa.Array:
