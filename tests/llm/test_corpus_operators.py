@@ -106,6 +106,24 @@ def test_op4(spark, rows, texts):
     assert ngram_join.near_duplicates(empty(spark)).collect() == []
 
 
+def test_op4_groups_under_a_foreign_hub(spark, monkeypatch):
+    """Near copies whose shared signatures' hub is none of theirs, hot hubs in parts, and rounds of hubs: brute force."""
+    common.importable(spark)
+    rng = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(5000)]
+    cases = []
+    for _ in range(3):
+        core, tail = ([rng.choice(vocabulary) for _ in range(n)] for n in (120, 70))
+        cases.append(" ".join(core + tail))
+        for _ in range(25):
+            cases.append(" ".join(edited(rng, core, rng.choice([1, 2, 4]), vocabulary)))
+            cases.append(" ".join(core[:60] + [rng.choice(vocabulary) for _ in range(70)]))
+            cases.append(" ".join(edited(rng, core[20:] + tail[:rng.choice([20, 40])], 3, vocabulary)))
+    monkeypatch.setattr(ngram_join, "CROWDED", 0.01)
+    monkeypatch.setattr(ngram_join, "PART_ROWS", 4)
+    assert as_dict(ngram_join.near_duplicates(odd(spark, cases))) == brute.near_duplicates(list(enumerate(cases)))
+
+
 def test_signatures_keep_every_link():
     """Sets of similarity 0.75 and more share a signature that neither drops, whatever the order of dropping."""
     rng = np.random.default_rng(3)
