@@ -8,7 +8,7 @@ the expressions: each of a rule's alternatives has a keyword and a stem in what
 it cannot leave out, so neither loses a detection. Detections are word
 intervals; one that lies within another of the same or a higher priority is
 suppressed (of equal intervals the higher priority stays, then the first label),
-found in one sweep over the intervals in order of their starts. The base phrases
+told by how far the earlier ones, in order of their starts, reach. The base phrases
 always count, whatever the other rules find.
 
 Everything happens within the row: no shuffle, no Python on the executors.
@@ -251,6 +251,9 @@ def _stems() -> list[str]:
 
 STEMS = _stems()
 
+#: Around a rule's matches; separators of words, so no folded text has them.
+BEGIN, END = "\x01", "\x02"
+
 
 def folded(text: Column) -> Column:
     """A text's words in lower case, each after a space, and a space at the end; one space without words.
@@ -265,23 +268,26 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _places(words: Column, rule: Column) -> Column:
-    """Word intervals at which a rule's expression stands."""
-    between = F.split(words, rule["regex"], -1)
-    found = F.regexp_extract_all(words, rule["regex"], F.lit(0))
-    none = F.array().cast("array<struct<start:int,stop:int,label:string,priority:int>>")
-    begin = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    """Word intervals at which a rule's expression stands.
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + _spaces(x["between"])
-        stop = start + _spaces(F.coalesce(x["found"], F.lit("")))
-        hit = F.struct(start.alias("start"), stop.alias("stop"), rule["label"].alias("label"),
-                       rule["priority"].alias("priority"))
-        return F.struct(stop.alias("at"), F.when(x["found"].isNull(), acc["out"])
-                        .otherwise(F.concat(acc["out"], F.array(hit))).alias("out"))
+    One replacement puts marks, which no folded text has, around what it matches; the marked words' places are the
+    intervals.
+    """
+    marked = F.split(F.regexp_replace(words, rule["regex"], F.lit(f" {BEGIN}$1{END}")), F.lit(" "), -1)
 
-    pairs = F.zip_with(between, found, lambda a, b: F.struct(a.alias("between"), b.alias("found")))
-    return F.when(F.size(found) == 0, none).otherwise(F.aggregate(pairs, begin, step, lambda acc: acc["out"]))
+    def ends(tokens: Column, mark: Column) -> Column:  # the text begins with a space: word k is token k + 1
+        return F.filter(F.transform(tokens, lambda t, i: F.when(mark(t), i)), lambda i: i.isNotNull())
+
+    return _let(marked, lambda tokens: F.zip_with(
+        ends(tokens, lambda t: t.startswith(BEGIN)), ends(tokens, lambda t: t.endswith(END)),
+        lambda x, y: F.struct((x - 1).alias("start"), y.alias("stop"), rule["label"].alias("label"),
+                              rule["priority"].alias("priority"))))
 
 
 def detections(words: Column) -> Column:
@@ -289,7 +295,7 @@ def detections(words: Column) -> Column:
     by_keywords: dict[str, list[Column]] = {}
     for label, p, keywords, pattern in rules():
         by_keywords.setdefault(keywords, []).append(F.struct(
-            F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(f" (?:{pattern})(?= )").alias("regex")))
+            F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(f" ((?:{pattern}))(?= )").alias("regex")))
     table = F.array(*[F.struct(F.array(*map(F.lit, k.split("|"))).alias("keywords"), F.array(*own).alias("rules"))
                       for k, own in by_keywords.items()])
     gate = F.lit(False)
@@ -298,30 +304,45 @@ def detections(words: Column) -> Column:
     none = F.array().cast("array<struct<start:int,stop:int,label:string,priority:int>>")
     run = F.flatten(F.transform(F.filter(
         table, lambda t: F.exists(t["keywords"], lambda k: F.contains(words, k))), lambda t: t["rules"]))
-    return F.when(gate, F.flatten(F.transform(run, lambda r: _places(words, r)))).otherwise(none)
+    found = F.transform(run, lambda r: F.when(F.regexp_like(words, r["regex"]), _places(words, r)).otherwise(none))
+    return F.when(gate, F.flatten(found)).otherwise(none)
 
 
 def resolved(found: Column) -> Column:
-    """The detections that no other of the same or a higher priority contains."""
+    """The detections that no other of the same or a higher priority contains.
+
+    In order of their starts, one is contained where an earlier one of its priority or a higher one reaches its stop.
+    How far the earlier ones reach is a running maximum for each priority, by doubling: after k steps each place knows
+    the maximum of the 2^k places up to it, so n detections take log2(n) passes over arrays of n numbers.
+    """
     order = F.array_sort(F.transform(
         F.filter(found, lambda d: d["priority"] > 0),
         lambda d: F.struct(d["start"].alias("start"), (-d["stop"]).alias("less_stop"), (-d["priority"]).alias("less_priority"),
                            d["label"].alias("label"))))
-    levels = sorted({p for p in PRIORITY.values()})
-    none = F.array().cast("array<struct<start:int,stop:int,label:string,priority:int>>")
-    begin = F.struct(*[F.lit(-1).alias(f"reach{p}") for p in levels], none.alias("out"))
-
-    def step(acc: Column, d: Column) -> Column:
-        stop, priority = -d["less_stop"], -d["less_priority"]
-        within = F.lit(False)
-        for p in levels:
-            within = within | ((priority == p) & (acc[f"reach{p}"] >= stop))
-        hit = F.struct(d["start"].alias("start"), stop.alias("stop"), d["label"].alias("label"), priority.alias("priority"))
-        return F.struct(*[F.when(priority >= p, F.greatest(acc[f"reach{p}"], stop)).otherwise(acc[f"reach{p}"])
-                          .alias(f"reach{p}") for p in levels],
-                        F.when(within, acc["out"]).otherwise(F.concat(acc["out"], F.array(hit))).alias("out"))
-
-    return F.aggregate(order, begin, step, lambda acc: acc["out"])
+    levels = sorted(set(PRIORITY.values()))
+
+    def reach(hits: Column) -> Column:  # at each place, by priority: the farthest stop up to there
+        own = F.struct(*[F.transform(hits, lambda d: F.when(-d["less_priority"] >= F.lit(p), -d["less_stop"]).otherwise(F.lit(-1)))
+                         .alias(f"reach{p}") for p in levels])
+        steps = F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.size(hits) + F.lit(1.0))).cast("int")),
+                            lambda k: F.pow(F.lit(2), k).cast("int"))
+        return F.aggregate(steps, own, lambda acc, width: F.struct(*[
+            _doubled(acc[f"reach{p}"], width).alias(f"reach{p}") for p in levels]))
+
+    def kept(hits: Column, reached: Column) -> Column:
+        def free(d: Column, i: Column) -> Column:
+            before = F.lit(-1)
+            for p in levels:
+                before = F.when(-d["less_priority"] == p, F.coalesce(F.get(reached[f"reach{p}"], i - 1), F.lit(-1))).otherwise(before)
+            return before < -d["less_stop"]
+        return F.transform(F.filter(hits, free), lambda d: F.struct(
+            d["start"].alias("start"), (-d["less_stop"]).alias("stop"), d["label"].alias("label"), (-d["less_priority"]).alias("priority")))
+
+    return _let(order, lambda hits: _let(reach(hits), lambda reached: kept(hits, reached)))
+
+
+def _doubled(reached: Column, width: Column) -> Column:
+    return F.transform(reached, lambda x, i: F.greatest(x, F.get(reached, i - width)))
 
 
 def scan(docs: DataFrame) -> DataFrame:
