@@ -57,6 +57,28 @@ def test_op2(spark, rows, texts):
     assert license_scan.scan(empty(spark)).collect() == []
 
 
+def test_op2_suppression(spark):
+    """What is left of overlapping detections, one by one: all but those that an earlier one in order, of the same or a
+    higher priority, reaches beyond; and one long text with tens of thousands of them."""
+    rng = random.Random(8)
+    phrases = ["cc by", "all rights reserved", "mit license", "licensed under the apache license version 2 0", "of the",
+               "spdx license identifier mit", "gnu general public license version 3", "copyright c 2020 by",
+               "opensource org licenses mit", "released under the mit license", "creative commons attribution 4 0"]
+    cases = [" ".join(rng.choice(phrases) for _ in range(n)) for n in [0, 1, 2, 3, 5, 9, 40] * 8]
+    docs = odd(spark, cases)
+    hits = as_dict(docs.select("doc_id", license_scan.detections(license_scan.folded(docs["text"])).alias("hits")))
+    found = as_dict(license_scan.scan(docs).select("doc_id", "found"))
+    assert any(len(h) > len(found[i][0]) for i, (h,) in hits.items())
+    for i, (h,) in hits.items():
+        order = sorted((d["start"], -d["stop"], -d["priority"], d["label"]) for d in h if d["priority"] > 0)
+        left = [(x, -y, label, -p) for k, (x, y, p, label) in enumerate(order)
+                if not any(q <= p and z <= y for _, z, q, _ in order[:k])]
+        assert [tuple(d) for d in found[i][0]] == left, cases[i]
+    long = spark.createDataFrame([(1, "all rights reserved cc by " * 20000)], "doc_id long, text string")
+    row = license_scan.labelled(license_scan.scan(long)).first()
+    assert (row["n_words"], row["n_base"], row["first_word"], row["last_word"]) == (100000, 40000, 0, 99998)
+
+
 def test_license_rules_need_their_stems():
     for label, _, keyword, pattern in license_scan.rules():
         assert any(s in keyword or s in pattern.replace("[sc]", "c").replace("licence", "licen") for s in license_scan.STEMS), (label, pattern)
