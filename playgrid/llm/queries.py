@@ -6,12 +6,12 @@ from functools import wraps
 
 import public_tokenizers
 
-from playgrid.llm import (alignment, decontaminate, license_scan, merkle, ngram_join, packing, quality_rules, sentencepiece_bpe,
+from playgrid.llm import (alignment, decontaminate, license_scan, merkle, ngram_join, oracle, packing, quality_rules, sentencepiece_bpe,
                           suffix_dedup, token_counts, token_store, toxicity, url_filter)
 from playgrid.llm.common import importable, table
 
 QUERIES = {}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.ORACLE_SQL
 
 
 def query(fn):
