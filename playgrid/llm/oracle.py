@@ -47,6 +47,35 @@ FROM texts LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
 
 
+#: Bytes as hexadecimal digits, two each; texts are read in pieces, so that a place is found without the whole text.
+SUFFIX_DEDUP = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+pieces AS (
+  SELECT r, p, substring(x, 2000 * p + 1, 2398) AS x
+  FROM (SELECT r, x, unnest(generate_series(0, (len(x) - 1) // 2000)) AS p FROM texts WHERE len(x) >= 400)
+), starts AS (
+  SELECT r, 1000 * p + k AS place, md5(substring(x, 2 * k + 1, 400)) AS h
+  FROM (SELECT r, p, x, unnest(generate_series(0, len(x) // 2 - 200)) AS k FROM pieces WHERE len(x) >= 400)
+), marked AS (
+  SELECT r, place, place - lag(place) OVER (PARTITION BY r ORDER BY place) AS gap
+  FROM starts SEMI JOIN (SELECT h FROM starts GROUP BY h HAVING count(*) > 1) USING (h)
+), runs AS (
+  SELECT r, min(place) AS since, max(place) + 200 AS upto
+  FROM (SELECT r, place, count(*) FILTER (coalesce(gap, 201) > 200) OVER (PARTITION BY r ORDER BY place) AS run FROM marked)
+  GROUP BY r, run
+), between_runs AS (
+  SELECT r, coalesce(lag(upto) OVER (PARTITION BY r ORDER BY since), 0) AS since, since AS upto FROM runs
+  UNION ALL SELECT r, max(upto), max(len(x) // 2) FROM runs JOIN texts USING (r) GROUP BY r
+), kept AS (
+  SELECT r, string_agg(substring(x, 2 * since + 1, 2 * (upto - since)), '' ORDER BY upto) AS kept
+  FROM between_runs JOIN texts USING (r) GROUP BY r
+), removed AS (SELECT r, sum(upto - since)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY r)
+SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
+
 def _leaf(text: str) -> str:
     fields = [f"coalesce(octet_length(encode({v}))::VARCHAR || ':' || {v}, '-')"
               for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
@@ -91,4 +120,5 @@ def merkle(levels: int = 6, top_levels: int = 3) -> str:
             f"cur = h AS verified FROM q_{top_levels} q JOIN t_{top_levels} x ON x.i = q.i")
 
 
-ORACLE_SQL = {"op4_ngram_join": NGRAM_JOIN, "op7_decontaminate": DECONTAMINATE, "op12_merkle": merkle()}
+ORACLE_SQL = {"op4_ngram_join": NGRAM_JOIN, "op7_decontaminate": DECONTAMINATE, "op9_suffix_dedup": SUFFIX_DEDUP,
+              "op12_merkle": merkle()}
