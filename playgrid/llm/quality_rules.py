@@ -18,7 +18,7 @@ Base measures: words [^\\x20\\x09-\\x0D]+, code points in words, symbols
 Defined results: a null text has no words and stays null; lines without a word
 are never frequent; a text whose lines are all frequent becomes empty; null hosts are one host; documents
 without words fail the base rules; rows repeated exactly count as
-several documents and give repeated rows.
+one document and give repeated rows.
 """
 
 from __future__ import annotations
