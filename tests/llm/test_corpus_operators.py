@@ -330,3 +330,57 @@ def test_seen_and_bitmaps(spark):
     bits = common.bitmap_of(df, "v")
     assert common.in_bitmap(bits, values[:2500]).all() and common.in_bitmap(bits, values[2500:]).mean() < 0.05
     assert 8 * len(bits.bits) == 1 << common.LEAST_BITS
+
+
+def dense_rank(edges, seeds, hosts, rounds=12, damping=0.85):
+    """Personalised PageRank by a dense matrix: host -> score."""
+    at = {h: k for k, h in enumerate(hosts)}
+    step = np.zeros((len(hosts), len(hosts)))
+    for (x, y), w in edges.items():
+        step[at[y], at[x]] += w
+    step /= np.maximum(step.sum(axis=0), 1e-300)
+    start = np.array([seeds.get(h, 0.0) for h in hosts])
+    start /= start.sum()
+    score = start
+    for _ in range(rounds):
+        score = damping * step @ score + (1 - damping) * start
+    return dict(zip(hosts, score))
+
+
+def test_op8_propagation_by_dense_iteration(spark):
+    """Trust, distrust and the verdicts of pages without a rule against a dense power iteration over the same links."""
+    rng = random.Random(21)
+    names = [f"h{k}.com" for k in range(14)] + ["a.h1.com", "b.h1.com", "good.org", "x.good.org", "bad.net", "worse.net"]
+    pages, edges, parent = [], {}, {"a.h1.com": "h1.com", "b.h1.com": "h1.com", "x.good.org": "good.org"}
+    for n in range(160):
+        host = rng.choice(names)
+        path = rng.choice(["/fr/", "/de/", "/"]) + str(n)
+        targets = [rng.choice(names[:9] + ["good.org"] if host == "good.org" else names) for _ in range(rng.randrange(4))]
+        pages.append((n, f"http://{host.upper()}{path}", "".join(f'<a href="https://{t}/p?{n}">t</a>' for t in targets) or None))
+        for t in set(targets) - {host}:
+            edges[host, t] = edges.get((host, t), 0) + 1
+    owns = {}
+    for _, url, _ in pages:
+        host, path = url[7:].split("/", 1)
+        owns.setdefault(host.lower(), []).append("/" + path)
+    for child, up in parent.items():
+        if child in owns:
+            for e in ((child, up), (up, child)):
+                edges[e] = edges.get(e, 0) + 1
+    is_allowed = lambda h, p: (h == "org" or h.endswith(".org")) and p.startswith("/fr/")
+    share = lambda test: {h: sum(test(h, p) for p in ps) / len(ps) for h, ps in owns.items()}
+    hosts = sorted(set(owns) | {h for e in edges for h in e})
+    trust = dense_rank(edges, share(is_allowed), hosts)
+    distrust = dense_rank({(y, x): w for (x, y), w in edges.items()}, share(lambda h, p: h.endswith(".net")), hosts)
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judge(docs).collect()}
+    verdicts = set()
+    for n, url, _ in pages:
+        host, path = url[7:].split("/", 1)
+        host, r = host.lower(), got[n]
+        assert (r["trust"], r["distrust"]) == (pytest.approx(trust[host], abs=1e-12), pytest.approx(distrust[host], abs=1e-12))
+        if r["rule"] is None:
+            refused = distrust[host] > 1 / len(owns) and distrust[host] > trust[host]
+            assert r["verdict"] == ("block" if refused else "allow")
+            verdicts.add(r["verdict"])
+    assert verdicts == {"allow", "block"}
