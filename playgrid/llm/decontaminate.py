@@ -14,8 +14,9 @@ but not none, is one phrase. The benchmark goes to the tasks in blocks of at
 most ``block_mb`` of text, a pass each, so what is broadcast is bounded.
 
 Defined results: null and empty texts have no words and no hits; items without
-words have no phrase; repeated items and rows count each for themselves; an
-empty benchmark hits nothing; very long texts are a shard of their own.
+words have no phrase; items of one item_id are one item; repeated rows give
+repeated rows; an empty benchmark hits nothing; very long texts are a shard of
+their own.
 """
 
 from __future__ import annotations
