@@ -11,7 +11,7 @@ removal spans.
 
 A phrase (window) is 13 consecutive words of an item; an item of fewer words,
 but not none, is one phrase. The benchmark goes to the tasks in blocks of at
-most ``block_mb`` of text, a pass each, so what is broadcast is bounded.
+most ``block_mb`` of text, a pass each; every task's closure holds all of them.
 
 Defined results: null and empty texts have no words and no hits; items without
 words have no phrase; items of one item_id are one item; repeated rows give
