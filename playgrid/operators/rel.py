@@ -35,14 +35,15 @@ def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[str], meth
     ``method="agg"`` (default): grouped ``max_by`` with map-side partial
     aggregation - the choice when a key can have many versions (upserted
     API records, re-read windows, hot keys).
-    ``method="window"``: ``row_number`` over the key - cheaper when keys are
+    ``method="window"``: the first row of a window over the key - cheaper when keys are
     near-unique message identities (the event log), where partial
     aggregation removes nothing and ``max_by`` over a wide struct forces a
-    sort-based aggregate.
+    sort-based aggregate. The first row is the one with none before it: for
+    ``row_number() = 1`` Spark would also sort the wide rows before the shuffle.
     """
     if method == "window":
         w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-        return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+        return df.withColumn("_before", F.lag(F.lit(True)).over(w)).filter(F.col("_before").isNull()).drop("_before")
     others = [c for c in df.columns if c not in key]
     picked = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(*_cols(order)))
     return (df.groupBy(*key).agg(picked.alias("_v"))

@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playgrid.functions.cols import (country_name, float_or_null_comma, int_or_null, money_sum, prop,
-                                     prop_raw, safe_div)
+from playgrid.functions.cols import (country_name, field, field_raw, float_or_null_comma, int_or_null, json_fields,
+                                     money_sum, safe_div)
 from playgrid.operators.rel import first_known, last_known
 
 
 def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
     """M-08: one row per player - activity span, last/first known attributes, LTV.
 
-    Reads only the JSON paths it needs from the deduplicated log, aggregates
+    Reads only the JSON paths it needs from the deduplicated log (one parse a row), aggregates
     per player and session and then per player (partial sums before each
     shuffle; the active days are a set, at most one entry for each calendar
     day), then joins the campaign bridge on player_id.
     """
-    ev = final_events.select(
+    keys = ["country", "version", "abVersion", "chapter", "revenue", "type"]
+    p = F.col("_p")
+    ev = final_events.select("*", json_fields(keys).alias("_p")).select(
         "player_id", "event_at", F.to_date("event_at").alias("event_date"),
         F.col("name").alias("event_name"), "session_id", "id",
-        prop("country").alias("country"),
-        prop("version").alias("app_version"),
-        prop("abVersion").alias("ab_version"),
-        int_or_null(prop_raw("chapter")).alias("chapter"),
-        float_or_null_comma(prop_raw("revenue")).alias("revenue_amount"),
-        prop("type").alias("revenue_type"))
+        field(p, "country").alias("country"),
+        field(p, "version").alias("app_version"),
+        field(p, "abVersion").alias("ab_version"),
+        int_or_null(field_raw(p, "chapter")).alias("chapter"),
+        float_or_null_comma(field_raw(p, "revenue")).alias("revenue_amount"),
+        field(p, "type").alias("revenue_type"))
     order = F.struct("event_at", "id")
     is_rev = F.col("event_name") == "revenue"
     agg = ev.groupBy("player_id").agg(

@@ -121,12 +121,14 @@ def player_campaign(profiles: DataFrame, accounts: DataFrame) -> DataFrame:
 
 def store_transactions(tx: DataFrame) -> DataFrame:
     """Recorded IAP store transactions (authoritative USD amounts)."""
-    d = F.col("data")
-    return (tx.filter((prop_raw("type", d) == "IAP") & (prop_raw("status", d) == "RECORDED"))
-            .select(prop_raw("profileId", d).alias("player_id"),
-                    F.to_date(ts_or_null(prop_raw("occurredAt", d))).alias("purchase_date"),
-                    F.coalesce(float_or_null(prop_raw("usdAmount", d)), F.lit(0.0)).alias("usd_amount"),
-                    prop_raw("productId", d).alias("product_id")))
+    d = F.col("_d")
+    keys = ["type", "status", "profileId", "occurredAt", "usdAmount", "productId"]
+    return (tx.select(json_fields(keys, "data").alias("_d"))
+            .filter((field_raw(d, "type") == "IAP") & (field_raw(d, "status") == "RECORDED"))
+            .select(field_raw(d, "profileId").alias("player_id"),
+                    F.to_date(ts_or_null(field_raw(d, "occurredAt"))).alias("purchase_date"),
+                    F.coalesce(float_or_null(field_raw(d, "usdAmount")), F.lit(0.0)).alias("usd_amount"),
+                    field_raw(d, "productId").alias("product_id")))
 
 
 def iap_usd(final_events: DataFrame, tx: DataFrame, rates_usd_df: DataFrame,
@@ -140,11 +142,12 @@ def iap_usd(final_events: DataFrame, tx: DataFrame, rates_usd_df: DataFrame,
     mt = store_transactions(tx)
     ev = final_events.filter(
         (F.col("name") == "revenue") & (prop_raw("type") == "purchase"))
-    ev = ev.select(
+    p = F.col("_p")
+    ev = ev.select("*", json_fields(["revenue", "currency", "purchase_id"]).alias("_p")).select(
         "id", "player_id", F.col("event_date").alias("purchase_date"),
-        float_or_null_comma(prop_raw("revenue")).alias("amount"),
-        prop("currency").alias("currency"),
-        prop_raw("purchase_id").alias("product_id"))
+        float_or_null_comma(field_raw(p, "revenue")).alias("amount"),
+        field(p, "currency").alias("currency"),
+        field_raw(p, "purchase_id").alias("product_id"))
     # scalar subquery: the store's first covered day
     ev = ev.filter(F.col("purchase_date") < mt.agg(F.min("purchase_date")).scalar())
     ev = asof_lookup(ev, rates_usd_df, "currency", "purchase_date")

@@ -80,7 +80,7 @@ def _write(df: DataFrame, name: str, partition_by: Sequence[str] = (), sort_by:
     out = df.hint("rebalance", *partition_by) if partition_by else df
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    out.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return path
 
 

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playgrid.sources.tables import read
+from playgrid.sources.tables import read, spread
 
 # Store SKUs carry a package prefix that the marts strip; the driver data uses
 # this neutral prefix (the pattern is a parameter of the IAP pipeline).
@@ -71,6 +71,7 @@ def _s(x) -> Column:
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw game event log (duplicates included), reference ``events`` shape."""
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    ev = spread(ev, "event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     b = ev.select(
         "event_id", "ts", "value", F.col("event_type").alias("t"), F.col("user_id").alias("u"),
@@ -225,6 +226,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store transaction dump derived from ``orders`` (purchases start 2024-01-12)."""
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                             "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread(o, "o_orderkey")
     ok = F.col("o_orderkey")
     day = F.date_add(F.lit("2024-01-12").cast("date"),
                      (F.datediff(F.col("o_orderdate"), F.lit("1995-01-01").cast("date")) % 30).cast("int"))
