@@ -196,4 +196,13 @@ def money_sum(x) -> Column:
     such a sum to 2-4 digits can flip on ties. Summing fixed-point values is
     associative, so the rounded figure no longer depends on partitioning.
     """
-    return F.sum(c(x).cast("decimal(24,6)")).cast("double")
+    return money_total(c(x).cast("decimal(24,6)"))
+
+
+def money_part(x) -> Column:
+    """``money_sum`` of a part of the rows, still as DECIMAL; ``money_total`` sums the parts."""
+    return F.sum(c(x).cast("decimal(24,6)"))
+
+
+def money_total(part) -> Column:
+    return F.sum(c(part)).cast("double")

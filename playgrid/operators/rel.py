@@ -64,6 +64,18 @@ def first_known(value, order) -> Column:
     return F.min_by(v, F.when(v.isNotNull(), o))
 
 
+def last_part(value, order: Column) -> Column:
+    """What ``last_known`` needs of a part of the rows: (at, value), of which the parts are compared again."""
+    v = value if isinstance(value, Column) else F.col(value)
+    return F.max(F.when(v.isNotNull(), F.struct(order.alias("at"), v.alias("value"))))
+
+
+def first_part(value, order: Column) -> Column:
+    """The same for ``first_known``."""
+    v = value if isinstance(value, Column) else F.col(value)
+    return F.min(F.when(v.isNotNull(), F.struct(order.alias("at"), v.alias("value"))))
+
+
 def dense_days(df: DataFrame, start: str, as_of, max_days: int = 30,
                out: str = "day_since_install") -> DataFrame:
     """Dense grid 0..min(max_days, as_of - start) per row (no grid for future starts)."""

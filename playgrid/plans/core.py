@@ -6,49 +6,60 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playgrid.functions.cols import (country_name, field, field_raw, float_or_null_comma, int_or_null, json_fields,
-                                     money_sum, safe_div)
-from playgrid.operators.rel import first_known, last_known
+                                     money_part, money_sum, money_total, safe_div)
+from playgrid.operators.rel import first_known, first_part, last_known, last_part
+from playgrid.sources.tables import deal
 
 
-def dim_players(final_events: DataFrame, campaign: DataFrame) -> DataFrame:
+def dim_players(final_events: DataFrame, campaign: DataFrame, rows: int = 0) -> DataFrame:
     """M-08: one row per player - activity span, last/first known attributes, LTV.
 
     Reads only the JSON paths it needs from the deduplicated log (one parse a row), aggregates
-    per player and session and then per player (partial sums before each
-    shuffle; the active days are a set, at most one entry for each calendar
-    day), then joins the campaign bridge on player_id.
+    per player, day and session and then per player (the active days are a set, at most one entry
+    for each calendar day), then joins the campaign bridge on player_id. Aggregates of strings sort
+    their rows; with ``rows`` (how many the log has, at most) both steps sort a bounded number in
+    each task, and a player's many events are spread over the days by the first.
     """
     keys = ["country", "version", "abVersion", "chapter", "revenue", "type"]
     p = F.col("_p")
-    ev = final_events.select("*", json_fields(keys).alias("_p")).select(
-        "player_id", "event_at", F.to_date("event_at").alias("event_date"),
-        F.col("name").alias("event_name"), "session_id", "id",
+    is_rev = F.col("name") == "revenue"
+    is_purchase, is_reward = (is_rev & (field(p, "type") == x) for x in ("purchase", "ad_reward"))
+    ev = deal(final_events.select("*", json_fields(keys).alias("_p")).select(
+        "player_id", "event_at", F.to_date("event_at").alias("event_date"), "session_id", "id",
         field(p, "country").alias("country"),
         field(p, "version").alias("app_version"),
         field(p, "abVersion").alias("ab_version"),
         int_or_null(field_raw(p, "chapter")).alias("chapter"),
-        float_or_null_comma(field_raw(p, "revenue")).alias("revenue_amount"),
-        field(p, "type").alias("revenue_type"))
+        F.when(is_rev, float_or_null_comma(field_raw(p, "revenue"))).alias("revenue"),
+        is_purchase.alias("is_purchase"), is_reward.alias("is_reward")), rows, "player_id", "event_date")
     order = F.struct("event_at", "id")
-    is_rev = F.col("event_name") == "revenue"
-    agg = ev.groupBy("player_id").agg(
-        F.min("event_at").alias("first_seen_at"),
-        F.max("event_at").alias("last_seen_at"),
+    last = {c: last_part(c, order).alias(f"last_{c}") for c in ("country", "app_version", "ab_version", "chapter")}
+    first = {c: first_part(c, order).alias(f"first_{c}") for c in ("app_version", "country")}
+    parts = ev.groupBy("player_id", "event_date", "session_id").agg(
+        F.min("event_at").alias("first_at"), F.max("event_at").alias("last_at"), *last.values(), *first.values(),
+        F.count(F.lit(1)).alias("events"), money_part("revenue").alias("revenue"),
+        F.count_if("is_purchase").alias("purchases"), F.count_if("is_reward").alias("rewards"),
+        F.bool_or("is_purchase").alias("is_payer"))
+    known_last = lambda c: last_known(F.col(f"last_{c}.value"), F.col(f"last_{c}.at"))
+    known_first = lambda c: first_known(F.col(f"first_{c}.value"), F.col(f"first_{c}.at"))
+    agg = deal(parts, rows, "player_id").groupBy("player_id").agg(
+        F.min("first_at").alias("first_seen_at"),
+        F.max("last_at").alias("last_seen_at"),
         F.min("event_date").alias("first_seen_date"),
         F.max("event_date").alias("last_seen_date"),
         F.size(F.collect_set("event_date")).alias("active_days"),
-        last_known("country", order).alias("country"),
-        last_known("app_version", order).alias("app_version"),
-        last_known("ab_version", order).alias("ab_version"),
-        last_known("chapter", order).alias("current_chapter"),
-        first_known("app_version", order).alias("first_app_version"),
-        first_known("country", order).alias("first_country"),
-        F.count(F.lit(1)).alias("total_events"),
+        known_last("country").alias("country"),
+        known_last("app_version").alias("app_version"),
+        known_last("ab_version").alias("ab_version"),
+        known_last("chapter").alias("current_chapter"),
+        known_first("app_version").alias("first_app_version"),
+        known_first("country").alias("first_country"),
+        F.sum("events").alias("total_events"),
         F.count_distinct("session_id").alias("total_sessions"),
-        F.round(money_sum(F.when(is_rev, F.col("revenue_amount"))), 4).alias("ltv"),
-        F.count_if(is_rev & (F.col("revenue_type") == "purchase")).alias("purchases_count"),
-        F.count_if(is_rev & (F.col("revenue_type") == "ad_reward")).alias("ad_rewards_count"),
-        F.bool_or(is_rev & (F.col("revenue_type") == "purchase")).alias("is_payer"))
+        F.round(money_total("revenue"), 4).alias("ltv"),
+        F.sum("purchases").alias("purchases_count"),
+        F.sum("rewards").alias("ad_rewards_count"),
+        F.bool_or("is_payer").alias("is_payer"))
     c = campaign.select("player_id", "campaign_name", "install_country",
                         F.col("platform").alias("install_platform"),
                         F.col("first_version").alias("install_version"), "install_date", "is_test_profile")

@@ -60,6 +60,11 @@ class Ctx:
                "backfill": A.iap_backfill, "user_props": A.user_props}
         return self.get(f"inp:{name}", lambda: fns[name](self.spark, self.sf_dir))
 
+    def log_rows(self) -> int:
+        """Rows of the raw event log: how many tasks deduplicate it and group its rows by player."""
+        from playgrid.sources import adapters as A
+        return self.get("log_rows", lambda: A.game_event_rows(self.spark, self.sf_dir))
+
     # staging / intermediate
     def final(self):
         """The deduplicated event log (FINAL read), in files ordered by day and event name.
@@ -68,7 +73,7 @@ class Ctx:
         by the statistics of row groups and pages.
         """
         from playgrid.plans import staging as S
-        build = lambda: S.events_final(self.inp("events"))
+        build = lambda: S.events_final(self.inp("events"), self.log_rows())
         if self.single:
             return self.get("final", build)
         return self.mat("final", build, sort_by=["event_date", "name"])
@@ -130,7 +135,7 @@ class Ctx:
 
     def build_dim(self):
         from playgrid.plans import core
-        return core.dim_players(self.final(), self.campaign())
+        return core.dim_players(self.final(), self.campaign(), self.log_rows())
 
     def dim(self):
         return self.mat("dim", self.build_dim)

@@ -9,17 +9,19 @@ from playgrid.functions.cols import (field, field_raw, float_or_null, float_or_n
                                      json_fields, prop, prop_raw, ts_or_null)
 from playgrid.operators.rel import asof_lookup, latest_version
 from playgrid.sources import adapters as A
+from playgrid.sources.tables import deal
 
 EVENT_KEY = ["event_date", "name", "player_id", "id"]
 
 
-def events_final(raw: DataFrame) -> DataFrame:
+def events_final(raw: DataFrame, rows: int = 0) -> DataFrame:
     """FINAL read of the event log: last ``received_at`` per (event_date, name, player_id, id).
 
     The key contains ``event_date`` (the physical partition column), so the
-    dedup is partition-local when the log is laid out by day.
+    dedup is partition-local when the log is laid out by day. With ``rows`` (how
+    many the raw log has) each task sorts a bounded number of the wide rows.
     """
-    return latest_version(raw, EVENT_KEY, ["received_at", "seq"], method="window")
+    return latest_version(deal(raw, rows, *EVENT_KEY), EVENT_KEY, ["received_at", "seq"], method="window")
 
 
 def stg_events(final_events: DataFrame) -> DataFrame:

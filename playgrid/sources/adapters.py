@@ -68,6 +68,14 @@ def _s(x) -> Column:
 
 
 # ------------------------------------------------------------- event log
+FAMILIES = ("a", "b", "c")
+
+
+def game_event_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Rows of ``game_events``, from the footers of the files."""
+    return read(spark, sf_dir, "events").count() * len(FAMILIES)
+
+
 def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw game event log (duplicates included), reference ``events`` shape."""
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -76,7 +84,7 @@ def game_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = ev.select(
         "event_id", "ts", "value", F.col("event_type").alias("t"), F.col("user_id").alias("u"),
         k.alias("k"), F.date_format("ts", "yyyyMMdd").alias("ymd"),
-        F.explode(F.array(F.lit("a"), F.lit("b"), F.lit("c"))).alias("fam"))
+        F.explode(F.array(*map(F.lit, FAMILIES))).alias("fam"))
     t, u, kk, fam = F.col("t"), F.col("u"), F.col("k"), F.col("fam")
     pid = F.concat(F.lit("p"), _s(u))
 

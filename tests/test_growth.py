@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playgrid.operators import loads, rel
 from playgrid.plans import core, staging
 from playgrid.plans.q_streams import Landing
+from playgrid.plans.registry import Ctx
 from playgrid.sources import ingest
 from playgrid.sources.tables import spread
 
@@ -89,3 +90,44 @@ def test_conversions_are_compared_before_they_are_parsed(spark):
     assert "SortAggregate" not in plan(got)
     rows = {r.conversion_id: r for r in got.collect()}
     assert set(rows) == {1, 2, None} and rows[1].raw == '{"conversion_id":1,"payout":"x"}' and rows[2].status == "ok"
+
+
+def events(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 90000)").alias("ts"),
+        (F.col("id") % 97).alias("user_id"), F.element_at(F.array(*map(F.lit, ("purchase", "click", "view", "error", "signup"))),
+                                                          (F.col("id") % 5 + 1).cast("int")).alias("event_type"),
+        F.lit(1.5).alias("value"), F.concat(F.lit('{"k": '), F.col("id") % 80, F.lit("}")).alias("props"))
+
+
+def test_log_is_deduplicated_by_tasks_that_hold_a_bounded_number_of_rows(spark, scratch):
+    events(spark, 40_000).write.parquet(f"{scratch}/events.parquet")
+    log = Ctx(spark, scratch, single=True).final()
+    assert log.rdd.getNumPartitions() == 3  # 120,000 wide rows; Spark's choice would be by compressed size
+    key, raw = staging.EVENT_KEY, Ctx(spark, scratch).inp("events")
+    assert log.count() == raw.select(*key).distinct().count() == log.select(*key).distinct().count() < raw.count()
+    late = raw.groupBy(*key).agg(F.max(F.struct("received_at", "seq")).alias("v")).select(*key, "v.*")
+    assert log.select(*key, "received_at", "seq").exceptAll(late).isEmpty()
+
+
+def test_players_are_aggregated_by_tasks_that_hold_a_bounded_number_of_rows(spark):
+    rows = [("2024-01-01 23:59:00", "revenue", "p1", "s", "i1", '{"country":"US","version":"1.0.22","revenue":"1,5","type":"purchase"}'),
+            ("2024-01-02 00:01:00", "revenue", "p1", "s", "i2", '{"country":"GB","chapter":3,"revenue":"0.25","type":"ad_reward"}'),
+            ("2024-01-03 10:00:00", "pause", "p1", "s2", "i4", '{"version":"1.0.9","revenue":"7"}'),
+            ("2024-01-03 10:00:00", "pause", "p1", None, "i3", '{"version":"1.0.8"}'),
+            ("2024-01-04 10:00:00", "revenue", "p2", None, "i5", '{"revenue":"1"}'),
+            ("2024-01-04 10:00:00", "pause", None, "s9", "i6", None)]
+    ev = spark.createDataFrame(rows, "event_at string, name string, player_id string, session_id string, id string, properties string")
+    ev = ev.withColumn("event_at", F.col("event_at").cast("timestamp_ntz"))
+    camp = spark.createDataFrame([], "player_id string, campaign_name string, install_country string, platform string, "
+                                     "first_version string, install_date date, is_test_profile boolean")
+    dim = core.dim_players(ev, camp, 250_000)
+    text = plan(dim)
+    assert text.count("REPARTITION_BY_NUM") == 2 and text.count(", 5), REPARTITION_BY_NUM") == 2
+    got = {r.player_id: r for r in dim.collect()}
+    r = got["p1"]
+    assert (r.country, r.first_country, r.app_version, r.first_app_version, r.current_chapter, r.ab_version) == ("GB", "US", "1.0.9", "1.0.22", 3, None)
+    assert (r.total_sessions, r.active_days, r.total_events, r.ltv, r.purchases_count, r.ad_rewards_count, r.is_payer, r.lifespan_days) == (
+        2, 3, 4, 1.75, 1, 1, True, 2)
+    assert (got["p2"].total_sessions, got["p2"].ltv, got["p2"].is_payer, got["p2"].country) == (0, 1.0, None, None)
+    assert (got[None].total_sessions, got[None].ltv, got[None].is_payer) == (1, None, False) and len(got) == 3
