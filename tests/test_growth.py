@@ -7,8 +7,10 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+from playgrid import session
 from playgrid.operators import loads, rel
 from playgrid.plans import core, staging
+from playgrid.plans.q_ops import q_dq_report
 from playgrid.plans.q_streams import Landing
 from playgrid.plans.registry import Ctx
 from playgrid.sources import ingest
@@ -131,3 +133,10 @@ def test_players_are_aggregated_by_tasks_that_hold_a_bounded_number_of_rows(spar
         2, 3, 4, 1.75, 1, 1, True, 2)
     assert (got["p2"].total_sessions, got["p2"].ltv, got["p2"].is_payer, got["p2"].country) == (0, 1.0, None, None)
     assert (got[None].total_sessions, got[None].ltv, got[None].is_payer) == (1, None, False) and len(got) == 3
+
+
+def test_report_reads_the_log_once_without_building_it(spark, scratch):
+    events(spark, 500).write.parquet(f"{scratch}/events.parquet")
+    report = q_dq_report(spark, scratch).collect()
+    assert not [k for k in session._BUILT if k[2] == scratch]
+    assert len(report) == 27 and {r.metric for r in report if r.check_name == "table is not empty"} >= {1500}
