@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from playgrid import session
 from playgrid.operators import loads, rel
-from playgrid.plans import core, staging
+from playgrid.plans import clans, core, staging
 from playgrid.plans.q_ops import q_dq_report
 from playgrid.plans.q_streams import Landing
 from playgrid.plans.registry import Ctx
@@ -140,3 +140,24 @@ def test_report_reads_the_log_once_without_building_it(spark, scratch):
     report = q_dq_report(spark, scratch).collect()
     assert not [k for k in session._BUILT if k[2] == scratch]
     assert len(report) == 27 and {r.metric for r in report if r.check_name == "table is not empty"} >= {1500}
+
+
+def test_members_of_a_clan_are_counted_without_copies(spark):
+    ts = lambda d: f"2024-01-{d:02d} 00:00:00"
+    mart = lambda rows, schema: spark.createDataFrame(rows, schema)
+    ev = mart([("c1", "A", ts(1), "e1", "p1", "clan_creation", None)],
+              "clan_id string, clan_name string, event_at string, event_id string, actor_id string, event_name string, new_level int")
+    ev = ev.withColumn("event_at", F.col("event_at").cast("timestamp_ntz"))
+    members = mart([("c1", "p1", ts(1), False, "LEADER", "switched_clan"), ("c1", "p1", ts(5), True, "LEADER", None),
+                    ("c1", "p2", ts(5), True, "LEADER", None), ("c1", "p3", ts(9), True, "MEMBER", None),
+                    ("c1", "p4", ts(9), False, "LEADER", "kicked"), ("c1", "p4", ts(2), False, "MEMBER", "switched_clan")],
+                   "clan_id string, member_id string, joined_at string, is_current boolean, role string, leave_reason string")
+    members = members.withColumn("joined_at", F.col("joined_at").cast("timestamp_ntz"))
+    daily = mart([], "clan_id string, event_date date, members_eod long, raid_fights long")
+    fights = mart([], "clan_id string, player_id string, event_at timestamp_ntz, is_win int, boss_tier int, has_tech_issue boolean, is_loss_full_hp boolean")
+    tiers = mart([], "clan_id string, is_cleared boolean, first_win_at timestamp_ntz, boss_tier int")
+    dim = mart([("p1", True)], "player_id string, is_test_profile boolean")
+    out = clans.dim_clans(ev, members, daily, mart([], "player_id string, event_date date"), fights, tiers, dim, "2024-01-31")
+    assert "Expand" not in plan(out)
+    r = out.first()
+    assert (r.members_current, r.members_ever, r.switched_out_total, r.leader_id, r.is_test_creator) == (3, 4, 2, "p2", True)
