@@ -64,16 +64,19 @@ def first_known(value, order) -> Column:
     return F.min_by(v, F.when(v.isNotNull(), o))
 
 
-def last_part(value, order: Column) -> Column:
-    """What ``last_known`` needs of a part of the rows: (at, value), of which the parts are compared again."""
+def _at(value, order: Column) -> Column:
     v = value if isinstance(value, Column) else F.col(value)
-    return F.max(F.when(v.isNotNull(), F.struct(order.alias("at"), v.alias("value"))))
+    return F.when(v.isNotNull(), F.struct(order.alias("at"), v.alias("value")))
+
+
+def last_part(value, order: Column) -> Column:
+    """``last_known`` of a part of the rows as (at, value): the parts are compared again by ``at``."""
+    return last_known(_at(value, order), order)
 
 
 def first_part(value, order: Column) -> Column:
     """The same for ``first_known``."""
-    v = value if isinstance(value, Column) else F.col(value)
-    return F.min(F.when(v.isNotNull(), F.struct(order.alias("at"), v.alias("value"))))
+    return first_known(_at(value, order), order)
 
 
 def dense_days(df: DataFrame, start: str, as_of, max_days: int = 30,

@@ -38,6 +38,7 @@ def deal(df: DataFrame, rows: int, *key: str) -> DataFrame:
     Adaptive execution merges shuffle partitions by their compressed size, and rows that repeat each other's text are
     several times that in memory, so the tasks of a larger table spilled. A given number of tasks is left as it is:
     what a task holds does not grow with the table. ``rows`` is a number that the caller knows (at least about) before
-    the query runs; 0 leaves the partitions to Spark.
+    the query runs; what fits one task, and 0, leaves the partitions to Spark.
     """
-    return df.repartition(-(-rows // ROWS_PER_SORT), *key) if rows else df
+    tasks = -(-rows // ROWS_PER_SORT)
+    return df if tasks < 2 else df.repartition(tasks, *key)
