@@ -112,6 +112,20 @@ def test_log_is_deduplicated_by_tasks_that_hold_a_bounded_number_of_rows(spark,
     assert log.select(*key, "received_at", "seq").exceptAll(late).isEmpty()
 
 
+def test_rows_of_a_player_and_day_of_the_log_lie_in_one_task(spark, scratch):
+    rows = events(spark, 40_000).withColumn("user_id", F.when(F.col("event_id") % 11 > 0, F.col("user_id")))
+    rows.write.parquet(f"{scratch}/events.parquet")
+    raw = Ctx(spark, scratch).inp("events").withColumn("id", F.coalesce("id", F.concat(F.lit("n"), F.col("seq") % 5000)))
+    log = staging.events_final(raw, 120_000)
+    tasks = (log.select("event_date", "player_id", F.spark_partition_id().alias("task")).distinct()
+             .groupBy("event_date", "player_id").agg(F.count("task").alias("n")).groupBy(F.col("player_id").isNull().alias("nobody")).agg(F.max("n").alias("n")).collect())
+    assert {r.nobody: r.n for r in tasks} == {False: 1, True: 3}  # rows without a player are not one task's
+    assert plan(log).count("Exchange") - plan(raw).count("Exchange") == 1
+    got = log.select(*raw.columns)
+    same = staging.latest_version(raw, staging.EVENT_KEY, ["received_at", "seq"])
+    assert got.columns == log.columns and got.exceptAll(same.select(*raw.columns)).isEmpty() and got.count() == same.count()
+
+
 def test_players_are_aggregated_by_tasks_that_hold_a_bounded_number_of_rows(spark):
     rows = [("2024-01-01 23:59:00", "revenue", "p1", "s", "i1", '{"country":"US","version":"1.0.22","revenue":"1,5","type":"purchase"}'),
             ("2024-01-02 00:01:00", "revenue", "p1", "s", "i2", '{"country":"GB","chapter":3,"revenue":"0.25","type":"ad_reward"}'),
