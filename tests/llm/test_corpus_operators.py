@@ -3,6 +3,7 @@
 import random
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 from re import _parser as parser
 
@@ -160,6 +161,47 @@ def test_signatures_keep_every_link():
             assert len(np.intersect1d(x, y)) > max(p, q)
 
 
+def test_shared_keys_travel_packed(spark, monkeypatch):
+    """Keys that several rows have, with their counts, from tables in many pieces and buckets: brute force."""
+    common.importable(spark)
+    monkeypatch.setattr(ngram_join, "PACKED_KEYS", 50)
+    rng = random.Random(4)
+    some = [rng.getrandbits(40) for _ in range(300)]
+    keys = {(1 << 40) * (k % 3) + k: sorted({rng.choice(some) for _ in range(rng.choice([0, 3, 40]))} | {rng.getrandbits(40)})
+            for k in range(120)}
+    parts = [spark.createDataFrame([(r, bytearray(b"".join(x.to_bytes(5, "little") for x in keys[r]))) for r in keys if r % 2 == k],
+                                   "row bigint, keys binary").repartition(3, "row") for k in (0, 1)]
+    n = Counter(x for v in keys.values() for x in v)
+    want = sorted((r, x, n[x]) for r, v in keys.items() for x in v if n[x] > 1)
+    shared = ngram_join.shared_keys(parts, sum(map(len, keys.values())))
+    assert want and sorted(map(tuple, shared.collect())) == want
+    assert "packed" in shared._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_span_hashes_are_those_of_their_bytes():
+    """Short and long spans, which are summed in two ways, get one value for the same bytes."""
+    rng = np.random.default_rng(7)
+    data = rng.integers(0, 256, 4000).astype(np.uint8)
+    starts = rng.integers(0, 3700, 500)
+    ends = starts + rng.choice([1, 2, 23, 24, 25, 26, 300], 500)
+    assert (common.span_hashes(data, starts, ends) == common._long_hashes(data, starts, ends)).all()
+    assert len(common.span_hashes(data, starts[:0], ends[:0])) == 0
+
+
+def test_op4_copies_in_several_tasks(spark):
+    """Copies that sign in different tasks count as one set."""
+    common.importable(spark)
+    rng = random.Random(9)
+    vocabulary = [f"k{k}" for k in range(400)]
+    base = [[rng.choice(vocabulary) for _ in range(60)] for _ in range(4)]
+    cases = [" ".join(edited(rng, b, e, vocabulary)) for b in base for e in (0, 0, 0, 1, 1, 40)] * 2
+    docs = odd(spark, cases).repartition(6)
+    join = ngram_join.Join(docs)
+    members = join.memberships().collect()
+    assert len(members) == len({(r["sig"], r["node"]) for r in members})
+    assert as_dict(join.result()) == brute.near_duplicates(list(enumerate(cases)))
+
+
 def test_op6(spark, rows):
     got = as_dict(QUERIES["op6_toxicity"](spark, SF))
     assert len(got) == len(rows)
